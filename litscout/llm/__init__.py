@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("formatting",)
+MODULES = ("formatting", "canonical")
 
 
 def _modules():

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("formatting", "canonical", "residue")
+MODULES = ("fusion", "formatting", "canonical", "residue")
 
 
 def _modules():

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("fusion", "formatting", "canonical", "leakage", "residue")
+MODULES = ("language", "fusion", "formatting", "canonical", "leakage", "residue")
 
 
 def _modules():

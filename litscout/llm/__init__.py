@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("language", "fusion", "formatting", "canonical", "linkage", "matching", "leakage", "residue")
+MODULES = ("language", "fusion", "formatting", "canonical", "linkage", "matching", "leakage", "mixture", "residue")
 
 
 def _modules():

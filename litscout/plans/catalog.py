@@ -1,11 +1,12 @@
-"""Queries of the core operators on the driver's tables, each with the same result in SQL."""
+"""Queries of the core operators on the driver's tables, each with the same result in SQL where SQL can express it.
 
-from __future__ import annotations
+Every query runs over its whole tables. A limit stands only where it is the feature: a page, a top list, a sample.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from litscout.plans import records, scholarly, texts
 
 FLAGSHIP = "search_terms_facets"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = scholarly.QUERIES | texts.QUERIES | records.QUERIES
+ORACLES = scholarly.ORACLES | texts.ORACLES | records.ORACLES

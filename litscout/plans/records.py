@@ -197,7 +197,7 @@ def first_seen(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("events_tumbling", "select date_trunc('hour', ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
 def events_tumbling(spark: SparkSession, sf: str) -> DataFrame:
-    out = stream.tumbling(table(spark, sf, "events"))
+    out = stream.tumbling(stream.timed(table(spark, sf, "events")))
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
@@ -207,7 +207,7 @@ def events_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     s as (select user_id, ts, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as k from g) select user_id, min(ts) as start, count(*) as n from s group by user_id, k""",
 )
 def events_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    return stream.sessions(table(spark, sf, "events")).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+    return stream.sessions(stream.timed(table(spark, sf, "events"))).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
 @query("links_by_entity", "select entity_id, count(*) as links, count(distinct document_id) as documents, round(avg(confidence), 3) as mean_confidence from (select distinct * from document_ontology_link) group by entity_id")

@@ -10,7 +10,7 @@ from litscout.functions.text import blank_to_null
 from litscout.operators import aggregates, index, joins, search, windows
 from litscout.session import table
 
-QUERY = "cannabidiol and the adherence of patients"
+QUERY = "cannabidiol and the adherence"
 REQUEST = search.Request(query=QUERY, filters={"lang": search.Filter(("en", "pt"))}, year_from=2008, limit=50)
 BOTH = search.Request(filters={"topic": search.Filter(("insomnia", "cannabidiol"), all_of=True)})
 QUERIES, ORACLES = {}, {}
@@ -45,7 +45,7 @@ def topics(spark: SparkSession, sf: str) -> DataFrame:
     return index.facet_rows(linked, {"topic": F.array("canonical_label_en")}, {"topic": F.array(F.struct(F.col("canonical_label").alias("alias"), F.col("canonical_label_en").alias("display")))})
 
 
-_TERMS = "lower(text) like '%cannabidiol%' and lower(text) like '%adherence%' and lower(text) like '%patients%'"
+_TERMS = "lower(text) like '%cannabidiol%' and lower(text) like '%adherence%'"
 _SELECTED = f"select doc_id, publication_year, lang, source, n_chars from documents where {_TERMS} and lang in ('en', 'pt') and publication_year >= 2008"
 _SLUG = "trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', ' ', 'g'))"
 

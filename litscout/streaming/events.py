@@ -1,5 +1,5 @@
 """Streams of events: windows, sessions, duplicates, and merges of micro-batches. Every function takes a streaming frame or a
-static one; a watermark has no effect on the latter, so that both give the same rows."""
+static one, after timed(); a watermark has no effect on the latter, so that both give the same rows."""
 
 from __future__ import annotations
 
@@ -10,23 +10,23 @@ from litscout.operators.merge import upsert
 
 
 def timed(df: DataFrame, late: str = "1 hour", column: str = "ts") -> DataFrame:
-    """Watermarks need a timestamp with time zone."""
+    """The frame with its watermark, which needs a timestamp with time zone; to be called once, before all else."""
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, late)
 
 
-def tumbling(df: DataFrame, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    grouped = timed(df, late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+def tumbling(df: DataFrame, width: str = "1 hour") -> DataFrame:
+    grouped = df.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return grouped.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
-def sessions(df: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
-    grouped = timed(df, late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
+def sessions(df: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    grouped = df.groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
     return grouped.select("user_id", F.col("session_window.start").alias("start"), "n")
 
 
-def without_repeats(df: DataFrame, keys: list[str], late: str = "1 hour") -> DataFrame:
+def without_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
     if df.isStreaming:
-        return timed(df, late).dropDuplicatesWithinWatermark(keys)
+        return df.dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys)
 
 

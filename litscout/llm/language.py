@@ -11,7 +11,8 @@ A text is cut into sentences and these into windows. The languages of a text's s
 given the mean log probabilities of their windows and the chance SWITCH that the language changes between two sentences;
 neighbouring sentences of one language form a part. Texts are read whole, in batches of windows.
 
-Defined results: null, empty and letterless texts have no language: no part, no row. Ties go to the first of LANGUAGES.
+Defined results: null, empty and letterless texts have no language: no part, no row; nor has any text where nothing is
+labelled. Ties go to the first of LANGUAGES.
 Repeated rows give the same rows once.
 """
 
@@ -158,9 +159,11 @@ def labelled(df: DataFrame, key: str, text: str, label: str, per_language: int =
     return rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n")
 
 
-def fit(sample: pd.DataFrame, seed: int = 5) -> Network:
-    """Train on a sample with columns text and label; every language weighs the same."""
+def fit(sample: pd.DataFrame, seed: int = 5) -> Network | None:
+    """Train on a sample with columns text and label; every language weighs the same. None without any labelled text."""
     rng, parts, y = np.random.default_rng(seed), [], []
+    if not len(sample):
+        return None
     per_class = max(1, int(sample["label"].value_counts().max())) * PER_ROW
     for code, language in enumerate(LANGUAGES):
         texts = sorted(sample.loc[sample["label"] == language, "text"])
@@ -175,7 +178,7 @@ def fit(sample: pd.DataFrame, seed: int = 5) -> Network:
             parts.append(cut[rng.integers(0, len(cut))])
             y.append(code)
     if not parts:
-        raise ValueError("no labelled text in any known language")
+        return None
     x, y = encode(parts), np.array(y)
     network = Network()
     network.train(x, y)
@@ -202,11 +205,11 @@ def _sequence(p: np.ndarray) -> np.ndarray:
     return np.array(path[::-1])
 
 
-def _parts(network: Network, texts: list[str | None]) -> list[list[dict] | None]:
+def _parts(network: Network | None, texts: list[str | None]) -> list[list[dict] | None]:
     """Parts of each text: neighbouring sentences of one language, with offsets and mean confidence."""
-    spans = [list(sentences(t)) if t is not None else [] for t in texts]
+    spans = [list(sentences(t)) if t is not None and network is not None else [] for t in texts]
     cut = [windows(t[a:b]) for t, own in zip(texts, spans) for a, b in own]
-    logs = network.log_probabilities([w for ws in cut for w in ws])
+    logs = network.log_probabilities([w for ws in cut for w in ws]) if cut else np.zeros((0, len(LANGUAGES)))
     sizes = np.array([len(ws) for ws in cut], dtype=int)
     mean = np.add.reduceat(logs, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None] if len(sizes) else np.zeros((0, len(LANGUAGES)))
     p = np.exp(mean - mean.max(axis=1, keepdims=True)) if len(sizes) else mean
@@ -233,7 +236,7 @@ def _parts(network: Network, texts: list[str | None]) -> list[list[dict] | None]
 PART = "array<struct<lang:string,confidence:double,char_start:int,char_end:int>>"
 
 
-def parts_of(network: Network, text: Column) -> Column:
+def parts_of(network: Network | None, text: Column) -> Column:
     """The parts of a text by language; null for null, empty for a text without letters."""
 
     @F.pandas_udf(PART)

@@ -32,6 +32,7 @@ from litscout.session import table
 LANGUAGES = ("en", "pt", "es", "fr", "de")
 SAMPLE = 400  #: labelled rows of each language for training; at most 1,000, so that Spark limits groups before the shuffle
 PER_ROW = 8
+LEAST = 800  #: training windows of a language, at least; of few texts they are drawn again and again
 LENGTH = 96
 WIDTHS = (2, 3, 4, 5, 6)
 EMBED, FILTERS = 12, 24
@@ -164,7 +165,7 @@ def fit(sample: pd.DataFrame, seed: int = 5) -> Network | None:
     rng, parts, y = np.random.default_rng(seed), [], []
     if not len(sample):
         return None
-    per_class = max(1, int(sample["label"].value_counts().max())) * PER_ROW
+    per_class = max(LEAST, int(sample["label"].value_counts().max()) * PER_ROW)
     for code, language in enumerate(LANGUAGES):
         texts = sorted(sample.loc[sample["label"] == language, "text"])
         split = [[text[a:b] for a, b in sentences(text)] for text in texts]

@@ -7,9 +7,11 @@ identifiers tell the answer, and appends unions for the clusters it touches; not
 anything accepted.
 
 Rows that share an identifier are linked to the smallest id of that identifier, not pairwise. Titles are compared only
-where neither pmid nor doi decides; only the best earlier row is linked. The smallest candidate_id represents a cluster.
+where neither pmid nor doi decides; only the best earlier row is linked. Words that a large share of the titles has block
+nothing, even if they are the name of one article that holds them all: for these a second kind of key, of the title as a
+whole, gives each row the first row of its key to be compared with. The smallest candidate_id represents a cluster.
 
-Defined results: null and empty identifiers and titles block nothing; a title without a telling token (such as "reply by
+Defined results: null and empty identifiers and titles block nothing; a title of fewer than four words (such as "reply by
 the authors") is never matched by title alone. Rows repeated under one id count once. Null ids are left out; a null batch
 comes first. Very long titles are compared whole.
 """
@@ -127,22 +129,32 @@ class Store:
             self.common = titles.common_tokens(rows)
             self.weights = learn(rows, self.common)
         exact = F.array_compact(F.array(F.when(F.col("pmid").isNotNull(), F.xxhash64(F.lit("p"), "pmid")), F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi"))))
-        tokens = titles.variants(titles.telling(F.col("tokens"), self.common))
+        tokens = F.when(F.size("tokens") >= titles.LEAST_TOKENS, titles.variants(titles.telling(F.col("tokens"), self.common))).otherwise(F.array().cast("array<bigint>"))
+        whole = titles.whole_keys(F.col("tokens"), F.col("part"), self.common)
         key = lambda kind: lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))
-        keys = rows.select("id", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"), F.explode(F.concat(F.transform(exact, key(True)), F.transform(tokens, key(False)))).alias("k"))
-        keys.select(F.col("k.kind").alias("exact"), "k.key", "id", "p", "d").write.parquet(f"{self.folder}/keys/{number}")
+        every = F.concat(F.transform(exact, key("id")), F.transform(tokens, key("word")), F.transform(whole, key("title")))
+        keys = rows.select("id", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"), F.explode(every).alias("k"))
+        keys.select("k.kind", "k.key", "id", "p", "d").write.parquet(f"{self.folder}/keys/{number}")
         self.batches.append(number)
 
     def probe(self, number: int) -> DataFrame:
         """(id, earlier): links of the rows of a batch to earlier rows, at least one for each row that repeats an article."""
         new, all_keys = self._read("keys", [number]), self._read("keys", self.batches)
-        own = new.where("exact").select("key", "id")
-        first = all_keys.where("exact").join(own.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("id").alias("earlier"))
+        def first_of(kind: str) -> tuple[DataFrame, DataFrame]:
+            """The new rows' keys of a kind, and the first row of each, and the first without a pmid."""
+            own = new.where(F.col("kind") == kind).select("key", "id", "p")
+            inside = all_keys.where(F.col("kind") == kind).join(own.select("key").distinct(), "key", "left_semi")
+            return own, inside.groupBy("key").agg(F.min("id").alias("earlier"), F.min(F.when(~F.col("p"), F.col("id"))).alias("nameless"))
+
+        own, first = first_of("id")
         links = own.join(first, "key").where("earlier < id").select("id", "earlier")
 
-        a = new.where("not exact").select("key", F.col("id").alias("ia"), F.col("p").alias("pa"), F.col("d").alias("da"))
-        b = all_keys.where("not exact").select("key", F.col("id").alias("ib"), F.col("p").alias("pb"), F.col("d").alias("db"))
-        pairs = a.join(b, "key").where("ib < ia and not (pa and pb) and not (da and db)").select("ia", "ib").distinct()
+        a = new.where("kind = 'word'").select("key", F.col("id").alias("ia"), F.col("p").alias("pa"), F.col("d").alias("da"))
+        b = all_keys.where("kind = 'word'").select("key", F.col("id").alias("ib"), F.col("p").alias("pb"), F.col("d").alias("db"))
+        pairs = a.join(b, "key").where("ib < ia and not (pa and pb) and not (da and db)").select("ia", "ib")
+        own, first = first_of("title")
+        starred = own.join(first, "key").select(F.col("id").alias("ia"), F.when(F.col("p"), F.col("nameless")).otherwise(F.col("earlier")).alias("ib")).where("ib < ia")
+        pairs = pairs.unionByName(starred).distinct()
         fields = lambda df, s: df.select(F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("tokens", "part", "year")])
         pairs = pairs.join(fields(self._read("rows", [number]), "a"), "ia").join(fields(self._read("rows", self.batches), "b"), "ib")
         scored = score_pairs(pairs, self.common, self.weights).where("score > 0")

@@ -16,6 +16,7 @@ from litscout.session import fixed_size, table
 MAX_PHRASES = 20_000
 COMMON_SHARE, COMMON_LEAST = 0.01, 4
 SHORTEST = 4  #: letters of a telling token
+LEAST_TOKENS = 4  #: of a title that can be matched by its words alone
 
 # Phrases of Portuguese titles that ontology_entity has not, with their English, and English wordings of one meaning.
 PHRASES = {
@@ -104,6 +105,18 @@ def variants(tokens: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(tokens, lambda w: F.concat(F.array(F.xxhash64(w)), drop(w)))))
 
 
+def whole_keys(tokens: Column, part: Column, common: list[str]) -> Column:
+    """Hashes of a title's words as a set, and of the set without each telling word (without each word, if none is telling).
+    They reach titles of which no word is telling, because one article holds a large share of all rows, and slips in them.
+    Such keys may be shared by any number of rows: they serve to find the first of them only."""
+    words = F.array_sort(F.array_distinct(tokens))
+    rare = telling(tokens, common)
+    out = F.when(F.size(rare) > 0, rare).otherwise(words)
+    name = lambda ws: F.xxhash64(F.array_join(ws, " "), part)
+    keys = F.array_distinct(F.concat(F.array(name(words)), F.transform(out, lambda w: name(F.array_remove(words, w)))))
+    return F.when(F.size(words) >= LEAST_TOKENS, keys).otherwise(F.array().cast("array<bigint>"))
+
+
 def _left(a: list[str], b: list[str]) -> list[int]:
     """Positions in a of what b has not."""
     have, out = Counter(b), []
@@ -126,9 +139,11 @@ def _noise(word: str) -> bool:
 def level(a: list[str], b: list[str], common: set[str]) -> int:
     """3: the same words in any order. 2: but for slips of the pen. 1: one title lacks a phrase at its start or end, slips
     apart. 0: neither."""
+    if min(len(a), len(b)) < LEAST_TOKENS:
+        return 0
     i, j = _left(a, b), _left(b, a)
     if not i and not j:
-        return 3 if a else 0
+        return 3
     shared = len(a) - len(i)
     if shared < 3 or 2 * shared < min(len(a), len(b)):
         return 0

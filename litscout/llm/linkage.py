@@ -133,8 +133,8 @@ class Store:
         whole = titles.whole_keys(F.col("tokens"), F.col("part"), self.common)
         key = lambda kind: lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))
         every = F.concat(F.transform(exact, key("id")), F.transform(tokens, key("word")), F.transform(whole, key("title")))
-        keys = rows.select("id", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"), F.explode(every).alias("k"))
-        keys.select("k.kind", "k.key", "id", "p", "d").write.parquet(f"{self.folder}/keys/{number}")
+        keys = rows.select("id", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"), titles.signature(F.col("tokens")).alias("sig"), F.explode(every).alias("k"))
+        keys.select("k.kind", "k.key", "id", "p", "d", F.when(F.col("k.kind") == "word", F.col("sig")).alias("sig")).write.parquet(f"{self.folder}/keys/{number}")
         self.batches.append(number)
 
     def probe(self, number: int) -> DataFrame:
@@ -149,9 +149,9 @@ class Store:
         own, first = first_of("id")
         links = own.join(first, "key").where("earlier < id").select("id", "earlier")
 
-        a = new.where("kind = 'word'").select("key", F.col("id").alias("ia"), F.col("p").alias("pa"), F.col("d").alias("da"))
-        b = all_keys.where("kind = 'word'").select("key", F.col("id").alias("ib"), F.col("p").alias("pb"), F.col("d").alias("db"))
-        pairs = a.join(b, "key").where("ib < ia and not (pa and pb) and not (da and db)").select("ia", "ib")
+        a = new.where("kind = 'word'").select("key", F.col("id").alias("ia"), F.col("p").alias("pa"), F.col("d").alias("da"), F.col("sig").alias("sa"))
+        b = all_keys.where("kind = 'word'").select("key", F.col("id").alias("ib"), F.col("p").alias("pb"), F.col("d").alias("db"), F.col("sig").alias("sb"))
+        pairs = a.join(b, "key").where("ib < ia and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("sa"), F.col("sb"))).select("ia", "ib")
         own, first = first_of("title")
         starred = own.join(first, "key").select(F.col("id").alias("ia"), F.when(F.col("p"), F.col("nameless")).otherwise(F.col("earlier")).alias("ib")).where("ib < ia")
         pairs = pairs.unionByName(starred).distinct()

@@ -17,6 +17,7 @@ MAX_PHRASES = 20_000
 COMMON_SHARE, COMMON_LEAST = 0.01, 4
 SHORTEST = 4  #: letters of a telling token
 LEAST_TOKENS = 4  #: of a title that can be matched by its words alone
+SHARED = 3  #: words that matching titles share at least, besides half of those of the shorter
 
 # Phrases of Portuguese titles that ontology_entity has not, with their English, and English wordings of one meaning.
 PHRASES = {
@@ -105,6 +106,18 @@ def variants(tokens: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(tokens, lambda w: F.concat(F.array(F.xxhash64(w)), drop(w)))))
 
 
+def signature(tokens: Column) -> Column:
+    """The words of a title as numbers, to be carried beside its blocking keys."""
+    return F.array_distinct(F.transform(tokens, lambda w: F.hash(w)))
+
+
+def may_match(a: Column, b: Column) -> Column:
+    """What level() asks for before all else, of signatures: a join condition that drops no pair with a level above 0 (equal
+    numbers of different words can only let more pass)."""
+    shared = F.size(F.array_intersect(a, b))
+    return (shared >= SHARED) & (2 * shared >= F.least(F.size(a), F.size(b)))
+
+
 def whole_keys(tokens: Column, part: Column, common: list[str]) -> Column:
     """Hashes of a title's words as a set, and of the set without each telling word (without each word, if none is telling).
     They reach titles of which no word is telling, because one article holds a large share of all rows, and slips in them.
@@ -144,8 +157,8 @@ def level(a: list[str], b: list[str], common: set[str]) -> int:
     i, j = _left(a, b), _left(b, a)
     if not i and not j:
         return 3
-    shared = len(a) - len(i)
-    if shared < 3 or 2 * shared < min(len(a), len(b)):
+    x, y = set(a), set(b)
+    if (shared := len(x & y)) < SHARED or 2 * shared < min(len(x), len(y)):
         return 0
     i, j = [k for k in i if not _noise(a[k])], [k for k in j if not _noise(b[k])]
     if not i and not j:

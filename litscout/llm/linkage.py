@@ -33,6 +33,7 @@ from litscout.session import cut, fixed_size, shared_dir, table
 SAMPLE = 3_000  #: rows from which weights are learned, at most
 PAIRS = 60_000  #: pairs of them, at most
 MAX_BATCHES = 10_000
+GROUP = 0.25
 LEVELS, YEARS = (0, 1, 2, 3), ("same", "next", "far", "none")
 #: What is expected before any data, with the weight of PRIOR pairs: shares of levels among equal and other articles.
 EXPECTED = {"m": (0.02, 0.04, 0.06, 0.88), "u": (0.985, 0.005, 0.005, 0.005), "my": (0.85, 0.05, 0.04, 0.06), "uy": (0.06, 0.1, 0.78, 0.06)}
@@ -204,14 +205,28 @@ def closure(parents: DataFrame) -> DataFrame:
         now = following
 
 
+def rounds(sizes: list[tuple[int, int]], group: float = GROUP) -> list[list[int]]:
+    """Batches in order, (number, rows), put together into rounds of at least group times what was accepted before: a round
+    costs a number of jobs whatever its size, and accepting batches together or one by one gives the same clusters."""
+    out: list[list[int]] = []
+    accepted = waiting = 0
+    for number, rows in sorted(sizes):
+        if not out or waiting >= group * accepted:
+            out.append([])
+            accepted, waiting = accepted + waiting, 0
+        out[-1].append(number)
+        waiting += rows
+    return out
+
+
 def found(spark: SparkSession, sf: str) -> DataFrame:
     """All batches of pubmed_candidate in order, each accepted into one store."""
-    df = table(spark, sf, "pubmed_candidate").select("candidate_id", "batch_no", "pmid", "doi", "title", "normalized_title", "publication_year")
+    df = table(spark, sf, "pubmed_candidate").select("candidate_id", F.coalesce("batch_no", F.lit(-1)).alias("batch_no"), "pmid", "doi", "title", "normalized_title", "publication_year")
     store = Store(spark, titles.vocabulary(spark, sf))
-    numbers = sorted(r["b"] for r in fixed_size(df.select(F.coalesce("batch_no", F.lit(-1)).alias("b")).distinct(), MAX_BATCHES, "the list of batches"))
-    for number in numbers:
-        store.accept(df.where(F.coalesce("batch_no", F.lit(-1)) == number), number)
-    if not numbers:
+    sizes = [(r["batch_no"], r["count"]) for r in fixed_size(df.groupBy("batch_no").count(), MAX_BATCHES, "the list of batches")]
+    for numbers in rounds(sizes):
+        store.accept(df.where(F.col("batch_no").isin(numbers)), numbers[-1])
+    if not sizes:
         return spark.createDataFrame([], "candidate_id_a bigint, candidate_id_b bigint")
     return store.representatives().select(F.col("root").alias("candidate_id_a"), F.col("id").alias("candidate_id_b"))
 

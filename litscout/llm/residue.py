@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litscout.session import table
+from litscout.session import cut, table
 
 ANY = "<*>"
 DEPTH = 2  #: leading tokens that choose the leaf
@@ -181,7 +181,7 @@ def detect(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Keys of the documents with residue of any kind, each once. Templates are mined and classified when this is called."""
     out = docs.where(has_slot(F.col(text))).select(key)
     chunk: list[str] = []
-    templates = classify(mine(docs, text)).where("kind is not null").select("template")
+    templates = cut(classify(mine(docs, text)).where("kind is not null").select("template"))  # else partition after partition
     for row in templates.toLocalIterator():
         chunk.append(row["template"])
         if len(chunk) == CHUNK:

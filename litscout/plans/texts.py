@@ -55,12 +55,22 @@ def study_type_keys(spark: SparkSession, sf: str) -> DataFrame:
       and regexp_full_match(text, '[\x00-\x7F]*')""",
 )
 def visible_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Markup put around plain ASCII texts and taken off again."""
+    """Markup put around plain ASCII texts and taken off again: the part of visible_text_all that SQL can follow."""
     rows = table(spark, sf, "documents").where(~F.col("text").contains("<") & ~F.col("text").contains("&") & ~F.col("text").rlike(tx.NON_ASCII))
+    return _visible(rows)
+
+
+def _visible(rows: DataFrame) -> DataFrame:
     marked = F.concat(F.lit("<p>"), F.replace(F.col("text"), F.lit("\n"), F.lit("</p><p>")), F.lit("</p><script>x</script>"))
     return rows.select("doc_id", F.md5(tx.visible_text(marked)).alias("hash"))
 
 
+@query("visible_text_all")
+def visible_text_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, with the markup, entities and letters that SQL cannot follow; a null text has a null hash."""
+    return _visible(table(spark, sf, "documents"))
+
+
 @query(
     "term_hits",
     "with h as (select " + " + ".join(f"(case when contains(lower(coalesce(text, '')), '{t}') then 1 else 0 end)" for t in TERMS) + " as hits, coalesce(n_chars, 0) as chars from documents) "

@@ -1,0 +1,25 @@
+"""Registered text queries over all documents, against brute force in Python."""
+
+import hashlib
+import html
+import re
+
+from litscout.plans import catalog
+
+TEXTS = [
+    "plain text\nof two lines", "Dor crônica, <b>señal</b> &amp; r&eacute;sum&eacute; &#8211; 5&nbsp;mg", "a<br/>b <!-- <i>not</i> seen --> c", "<style>p {x: y}</style>seen<SCRIPT type='a'>\nlet a = 1 < 2;\n</SCRIPT >after",
+    "wide   blanks　here", "&lt;b&gt; stays &amp;amp; as text", "Größe ≤ 5 μm", "", None,
+]
+
+
+def visible(text):
+    marked = "<p>" + text.replace("\n", "</p><p>") + "</p><script>x</script>"
+    marked = re.sub(r"<(script|style)\b.*?</\1\s*>", " ", marked, flags=re.I | re.S)
+    return " ".join(html.unescape(re.sub(r"<!--.*?-->|<[^>]*>", " ", marked, flags=re.S)).split())
+
+
+def test_visible_text_of_all_documents(spark, tables):
+    sf = tables(documents=(list(enumerate(TEXTS)), "doc_id bigint, text string"))
+    got = {r["doc_id"]: r["hash"] for r in catalog.QUERIES["visible_text_all"](spark, sf).collect()}
+    assert got == {i: None if t is None else hashlib.md5(visible(t).encode()).hexdigest() for i, t in enumerate(TEXTS)}
+    assert visible(TEXTS[1]) == "Dor crônica, señal & résumé – 5 mg" and visible(TEXTS[2]) == "a b c" and visible(TEXTS[3]) == "seen after"

@@ -8,8 +8,9 @@ anything accepted.
 
 Rows that share an identifier are linked to the smallest id of that identifier, not pairwise. Titles are compared only
 where neither pmid nor doi decides; only the best earlier row is linked. Words that a large share of the titles has block
-nothing, even if they are the name of one article that holds them all: for these a second kind of key, of the title as a
-whole, gives each row the first row of its key to be compared with. The smallest candidate_id represents a cluster.
+nothing, even if they are the name of one article that holds them all: titles without a telling word meet by their rarest
+words, and those that differ in one word by the others. There each distinct title (of one year, with or without pmid and
+doi) is compared once, for all rows that have it. The smallest candidate_id represents a cluster.
 
 Defined results: null and empty identifiers and titles block nothing; a title of fewer than four words (such as "reply by
 the authors") is never matched by title alone. Rows repeated under one id count once. Null ids are left out; a null batch
@@ -23,7 +24,7 @@ import uuid
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litscout.llm import titles
@@ -124,44 +125,55 @@ class Store:
 
     def prepare(self, df: DataFrame, number: int) -> None:
         """Store the comparable rows and the keys of a batch. The first batch also gives the vocabulary and the weights."""
-        comparable(df, self.phrases).write.parquet(f"{self.folder}/rows/{number}")
+        same = F.struct("tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"))
+        comparable(df, self.phrases).withColumn("same", F.md5(F.to_json(same))).write.parquet(f"{self.folder}/rows/{number}")
         rows = self._read("rows", [number])
         if not self.batches:
             self.common = titles.common_tokens(rows)
             self.weights = learn(rows, self.common)
         exact = F.array_compact(F.array(F.when(F.col("pmid").isNotNull(), F.xxhash64(F.lit("p"), "pmid")), F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi"))))
         tokens = F.when(F.size("tokens") >= titles.LEAST_TOKENS, titles.variants(titles.telling(F.col("tokens"), self.common))).otherwise(F.array().cast("array<bigint>"))
-        whole = titles.whole_keys(F.col("tokens"), F.col("part"), self.common)
         key = lambda kind: lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))
-        every = F.concat(F.transform(exact, key("id")), F.transform(tokens, key("word")), F.transform(whole, key("title")))
+        every = F.concat(F.transform(exact, key("id")), F.transform(tokens, key("word")))
         keys = rows.select("id", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"), titles.signature(F.col("tokens")).alias("sig"), F.explode(every).alias("k"))
         keys.select("k.kind", "k.key", "id", "p", "d", F.when(F.col("k.kind") == "word", F.col("sig")).alias("sig")).write.parquet(f"{self.folder}/keys/{number}")
+        distinct = rows.where(F.size("tokens") >= titles.LEAST_TOKENS).groupBy("same", "tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d")).agg(F.min("id").alias("id"), F.max("id").alias("last"))
+        distinct.withColumn("sig", titles.signature(F.col("tokens"))).withColumn("keys", titles.title_keys(F.col("tokens"), F.col("part"), self.common)).write.parquet(f"{self.folder}/titles/{number}")
         self.batches.append(number)
 
     def probe(self, number: int) -> DataFrame:
         """(id, earlier): links of the rows of a batch to earlier rows, at least one for each row that repeats an article."""
         new, all_keys = self._read("keys", [number]), self._read("keys", self.batches)
-        def first_of(kind: str) -> tuple[DataFrame, DataFrame]:
-            """The new rows' keys of a kind, and the first row of each, and the first without a pmid."""
-            own = new.where(F.col("kind") == kind).select("key", "id", "p")
-            inside = all_keys.where(F.col("kind") == kind).join(own.select("key").distinct(), "key", "left_semi")
-            return own, inside.groupBy("key").agg(F.min("id").alias("earlier"), F.min(F.when(~F.col("p"), F.col("id"))).alias("nameless"))
-
-        own, first = first_of("id")
+        own = new.where("kind = 'id'").select("key", "id")
+        inside = all_keys.where("kind = 'id'").join(own.select("key").distinct(), "key", "left_semi")
+        first = inside.groupBy("key").agg(F.min("id").alias("earlier"))
         links = own.join(first, "key").where("earlier < id").select("id", "earlier")
 
         a = new.where("kind = 'word'").select("key", F.col("id").alias("ia"), F.col("p").alias("pa"), F.col("d").alias("da"), F.col("sig").alias("sa"))
         b = all_keys.where("kind = 'word'").select("key", F.col("id").alias("ib"), F.col("p").alias("pb"), F.col("d").alias("db"), F.col("sig").alias("sb"))
         pairs = a.join(b, "key").where("ib < ia and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("sa"), F.col("sb"))).select("ia", "ib")
-        own, first = first_of("title")
-        starred = own.join(first, "key").select(F.col("id").alias("ia"), F.when(F.col("p"), F.col("nameless")).otherwise(F.col("earlier")).alias("ib")).where("ib < ia")
-        pairs = pairs.unionByName(starred).distinct()
+        pairs = pairs.distinct()
         fields = lambda df, s: df.select(F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("tokens", "part", "year")])
         pairs = pairs.join(fields(self._read("rows", [number]), "a"), "ia").join(fields(self._read("rows", self.batches), "b"), "ib")
-        scored = score_pairs(pairs, self.common, self.weights).where("score > 0")
-        best = scored.groupBy("ia").agg(F.max_by("ib", F.struct("score", -F.col("ib"))).alias("earlier"))
+        scored = score_pairs(pairs, self.common, self.weights).where("score > 0").select("ia", "ib", "score")
+        best = scored.unionByName(self.probe_titles(number)).groupBy("ia").agg(F.max_by("ib", F.struct("score", -F.col("ib"))).alias("earlier"))
         return links.unionByName(best.select(F.col("ia").alias("id"), "earlier")).distinct()
 
+    def probe_titles(self, number: int) -> DataFrame:
+        """(ia, ib, score): rows of a batch and the earlier rows that they match by keys of distinct titles. Each pair of distinct
+        titles is scored once. A row needs its best earlier row only, so that of what a title matches, by id, only what is
+        better than all before it goes to the title's rows."""
+        new, every = self._read("titles", [number]), self._read("titles", self.batches)
+        side = lambda df, s: df.select(F.explode("keys").alias("key"), F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}{s}") for c in ("p", "d", "sig", "last")])
+        pairs = side(new, "a").join(side(every, "b"), "key").where("ib < lasta and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("siga"), F.col("sigb"))).select("ia", "ib").distinct()
+        fields = lambda df, s: df.select(F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("tokens", "part", "year")])
+        pairs = pairs.join(fields(new, "a").join(new.select(F.col("id").alias("ia"), "same"), "ia"), "ia").join(fields(every, "b"), "ib")
+        scored = score_pairs(pairs, self.common, self.weights).where("score > 0").select("same", "ib", "score")
+        before = Window.partitionBy("same").orderBy("ib").rowsBetween(Window.unboundedPreceding, -1)
+        better = scored.withColumn("most", F.max("score").over(before)).where("most is null or score > most").drop("most")
+        rows = self._read("rows", [number]).select(F.col("id").alias("ia"), "same")
+        return rows.join(better, "same").where("ib < ia").select("ia", "ib", "score")
+
     def find(self, ids: DataFrame, upto: list[int]) -> DataFrame:
         """Representatives (id, root) of some ids: parents are followed twice, which reaches the root but for clusters merged
         again and again; those are unions all the same, and representatives() follows them to the end."""

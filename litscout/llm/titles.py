@@ -87,11 +87,11 @@ def with_tokens(df: DataFrame, title: Column, phrases: dict[str, str]) -> DataFr
 
 def common_tokens(df: DataFrame) -> list[str]:
     """Tokens in at least COMMON_SHARE of the titles (and COMMON_LEAST of them). There are at most as many as a title has
-    tokens on average, over COMMON_SHARE."""
+    tokens on average, over COMMON_SHARE. The rarest comes first."""
     counts = df.select(F.explode(F.array_distinct("tokens")).alias("w")).groupBy("w").count()
     total = df.where(F.size("tokens") > 0).count()
     least = max(COMMON_LEAST, COMMON_SHARE * total)
-    return sorted(r["w"] for r in counts.where(F.col("count") >= least).toLocalIterator())
+    return [w for _, w in sorted((r["count"], r["w"]) for r in counts.where(F.col("count") >= least).toLocalIterator())]
 
 
 def telling(tokens: Column, common: list[str]) -> Column:
@@ -120,8 +120,7 @@ def may_match(a: Column, b: Column) -> Column:
 
 def whole_keys(tokens: Column, part: Column, common: list[str]) -> Column:
     """Hashes of a title's words as a set, and of the set without each telling word (without each word, if none is telling).
-    They reach titles of which no word is telling, because one article holds a large share of all rows, and slips in them.
-    Such keys may be shared by any number of rows: they serve to find the first of them only."""
+    Such keys may be shared by any number of rows: they are for distinct titles."""
     words = F.array_sort(F.array_distinct(tokens))
     rare = telling(tokens, common)
     out = F.when(F.size(rare) > 0, rare).otherwise(words)
@@ -130,6 +129,57 @@ def whole_keys(tokens: Column, part: Column, common: list[str]) -> Column:
     return F.when(F.size(words) >= LEAST_TOKENS, keys).otherwise(F.array().cast("array<bigint>"))
 
 
+class Bare:
+    """Finds titles none of whose words is sure to tell its article, because the article holds a large share of all rows:
+    without a telling word, or with such only that may be slips of common or dropped words, or such words run together (they
+    begin or end like one). Of titles that share no telling word, only such can have a level above 0, but for telling words
+    that differ by more than their variants allow."""
+
+    def __init__(self, common: list[str]) -> None:
+        self.common, self.rank = common, {w: k for k, w in enumerate(common)}
+        self.ends = {e for w in common if len(w) >= SHORTEST for e in (("a", w[:SHORTEST]), ("z", w[-SHORTEST:]))}
+        self.stubs: dict[str, list[str]] = {}
+        for w in common:
+            for stub in self._without_two(w):
+                self.stubs.setdefault(stub, []).append(w)
+        self.known: dict[str, bool] = {}
+
+    @staticmethod
+    def _without_two(w: str) -> set[str]:
+        one = {w[:k] + w[k + 1 :] for k in range(len(w))}
+        return {w} | one | {v[:k] + v[k + 1 :] for v in one for k in range(len(v))}
+
+    def slip(self, word: str) -> bool:
+        if word not in self.known:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            near = len(word) == SHORTEST or _noise(word) or ("a", word[:SHORTEST]) in self.ends or ("z", word[-SHORTEST:]) in self.ends
+            near = near or any(distance(word, w, 2) <= (1 if max(len(word), len(w)) < 6 else 2) for w in {w for stub in self._without_two(word) for w in self.stubs.get(stub, ())})
+            self.known[word] = near
+        return self.known[word]
+
+    def prefix(self, tokens: list[str]) -> list[str]:
+        """Words of which two bare titles share one if they share SHARED words: all but the SHARED - 1 most common."""
+        if len(tokens) < LEAST_TOKENS:
+            return []
+        words = set(tokens)
+        telling = {w for w in words if len(w) >= SHORTEST and w not in self.rank}
+        if not all(map(self.slip, telling)):
+            return []
+        return sorted(words - telling, key=lambda w: (self.rank.get(w, -1), w))[: 1 - SHARED]
+
+
+def title_keys(tokens: Column, part: Column, common: list[str]) -> Column:
+    """Keys by which distinct titles meet without a telling word: whole_keys() and the rarest words of bare titles."""
+    bare = Bare(common)
+
+    @F.pandas_udf("array<string>")
+    def prefix(values: pd.Series) -> pd.Series:
+        return pd.Series([bare.prefix([] if v is None else list(v)) for v in values], dtype=object)
+
+    return F.array_distinct(F.concat(whole_keys(tokens, part, common), F.transform(prefix(tokens), lambda w: F.xxhash64(F.lit("bare"), w, part))))
+
+
 def _left(a: list[str], b: list[str]) -> list[int]:
     """Positions in a of what b has not."""
     have, out = Counter(b), []

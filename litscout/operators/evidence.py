@@ -97,9 +97,10 @@ def around(text: Column, pattern: str, width: int = 120) -> Column:
     return F.when(at > 0, squeeze(F.substring(text, start, at - start + width + F.length(F.regexp_extract(text, pattern, 0)))))
 
 
-def cut_references(text: Column, least: int = 5000, most: int = 60000) -> Column:
-    """Text up to its list of references, if that starts after the first least characters, and most characters of it."""
+def cut_references(text: Column, least: int = 5000, most: int | None = 60000) -> Column:
+    """Text up to its list of references, if that starts after the first least characters, and most characters of it (all: None)."""
     low = F.lower(text)
     places = [F.nullif(F.locate(marker, low, least + 1), F.lit(0)) for marker in (" references ", " bibliography ")]
     end = F.least(*places)
-    return F.substring(F.when(end.isNotNull(), F.substring(text, F.lit(1), end - 1)).otherwise(text), F.lit(1), F.lit(most))
+    out = F.when(end.isNotNull(), F.substring(text, F.lit(1), end - 1)).otherwise(text)
+    return out if most is None else F.substring(out, F.lit(1), F.lit(most))

@@ -128,6 +128,16 @@ def references_cut(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", F.md5(evidence.cut_references(F.col("text"))).alias("hash"))
 
 
+@query(
+    "references_cut_all",
+    """with p as (select doc_id, text, nullif(strpos(substr(lower(text), 5001), ' references '), 0) as r, nullif(strpos(substr(lower(text), 5001), ' bibliography '), 0) as b from documents)
+    select doc_id, md5(case when coalesce(r, b) is null then text else substr(text, 1, 4999 + least(coalesce(r, b), coalesce(b, r))) end) as hash from p""",
+)
+def references_cut_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, cut at their references and nowhere else."""
+    return table(spark, sf, "documents").select("doc_id", F.md5(evidence.cut_references(F.col("text"), most=None)).alias("hash"))
+
+
 @query(
     "grounding_exact",
     """with q as (select item_id, trim(regexp_replace(lower(regexp_extract(text, '^([^.]+)', 1)), '[^a-z0-9]+', ' ', 'g')) as e from benchmark), d as (select doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) as s from documents)

@@ -23,3 +23,12 @@ def test_visible_text_of_all_documents(spark, tables):
     got = {r["doc_id"]: r["hash"] for r in catalog.QUERIES["visible_text_all"](spark, sf).collect()}
     assert got == {i: None if t is None else hashlib.md5(visible(t).encode()).hexdigest() for i, t in enumerate(TEXTS)}
     assert visible(TEXTS[1]) == "Dor crônica, señal & résumé – 5 mg" and visible(TEXTS[2]) == "a b c" and visible(TEXTS[3]) == "seen after"
+
+
+def test_references_are_cut_in_all_documents(spark, tables):
+    long = "Some words. " * 6000
+    texts = [long, f"{long} References {long}", f"{'x ' * 3000} bibliography y references z", "early references stay", None]
+    whole = [long, long, "x " * 3000, "early references stay", None]
+    sf = tables(documents=(list(enumerate(texts)), "doc_id bigint, text string"))
+    got = {r["doc_id"]: r["hash"] for r in catalog.QUERIES["references_cut_all"](spark, sf).collect()}
+    assert got == {i: None if t is None else hashlib.md5(t.encode()).hexdigest() for i, t in enumerate(whole)}

@@ -266,7 +266,7 @@ def identifier_from_url(spark: SparkSession, sf: str) -> DataFrame:
 def identifiers_normalized(spark: SparkSession, sf: str) -> DataFrame:
     """Plain identifiers of candidates and the rule each needed, counted by kind."""
     rows = table(spark, sf, "pubmed_candidate").select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), ids.identifier(k, F.col(k)).alias("id"), F.col(k).isNotNull().alias("given")) for k in ("pmid", "doi")])).alias("r"))
-    return rows.groupBy("r.kind", "r.id.rule", "r.given").agg(F.count("*").alias("n"), F.approx_count_distinct("r.id.value").alias("about_distinct"))
+    return rows.groupBy("r.kind", "r.id.rule", "r.given").agg(F.count("*").alias("n"), F.count_distinct("r.id.value").alias("about_distinct"))
 
 
 @query(

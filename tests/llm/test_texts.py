@@ -103,7 +103,52 @@ def test_no_residue_in_nothing(spark, tables):
     assert residue.found(spark, sf).count() == 0
 
 
-def test_several_passes_give_the_same(spark, monkeypatch):
+def test_several_trees_give_the_same(spark, monkeypatch):
     df = spark.createDataFrame([(1, "INSERT TITLE HERE"), (2, "Your text goes here"), (3, PLAIN), (4, "Internal server error. Sorry.")], "doc_id int, text string")
-    monkeypatch.setattr(residue, "CHUNK", 1)
+    monkeypatch.setattr(residue, "MOST", 1)
     assert sorted(r["doc_id"] for r in residue.detect(df, "doc_id").collect()) == [1, 2, 4]
+
+
+def test_residue_in_words_of_no_list(tables):
+    """Phrases that neither the cues nor the labelled phrases have."""
+    ordinary = [(f"{w} {x} were measured in the {y} group after <*> weeks of treatment .".split(), "ordinary", (1.0, 0.1, 0.1, 1.0), ()) for w in ("doses", "scores", "levels", "diaries") for x in ("of pain", "of sleep", "in plasma") for y in ("first", "second", "other")]
+    model = residue.fit(ordinary + [(p.split(" "), kind, None, ()) for kind, phrases in residue.PHRASES.items() for p in phrases])
+    kind = lambda t: residue.KINDS[model.text(t.split()).argmax()]
+    held_out = ["this site requires scripts to run", "esta página requiere javascript", "seite nicht verfügbar", "enter your abstract below", "content not available in your region", "an error has occurred on the server"]
+    assert all(residue.label(t)[0] is None for t in held_out)
+    assert sum(kind(t) != "ordinary" for t in held_out) >= 5
+    assert kind("diaries of pain were measured in the third group after <*> weeks") == "ordinary"
+
+
+def test_what_mining_finds_decides(spark):
+    """The same words are residue as a line of their own in many sources, and not inside texts of one."""
+    model = residue.Classifier(index={"request": 0, "help": 1}, words=residue.np.array([[0, 0.5, 0, 0, 0]] * 3, "float32"))
+    model.mined[1:, 1] = 1.0
+    rows = [("request help now", "request help now", 10, 10, 10, 2), ("request help again", "request help again", 10, 0, 0, 1)]
+    mined = spark.createDataFrame(rows, "template string, merged string, n bigint, alone bigint, lead bigint, sources int")
+    assert [r["template"] for r in residue.classify(mined, model).collect()] == ["request help now"]
+
+
+def test_filler_of_unknown_words(spark):
+    rng = random.Random(1)
+    made = [" ".join(rng.choice("larem ipsar dolan vulna noctis tempra sedam elitra".split()) for _ in range(60)) + "." for _ in range(3)]
+    plain = "The team of {} measured the sleep of {} people with care, and the others kept to their usual habits in that year."
+    rows = [(i, plain.format(f"Site{i}", i)) for i in range(30)] + [(100 + i, f"{plain.format('Sora', 7)}\n{m}") for i, m in enumerate(made)] + [(200, plain.format("Sora", 8) + "\nLarem vulna dolan sedam noctis.")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert sorted(r["doc_id"] for r in residue.detect(df, "doc_id").collect()) == [100, 101, 102, 200]
+
+
+def test_cues_are_not_absorbed_by_wildcards():
+    tree = residue.PrefixTree()
+    for n in range(5):
+        tree.add(["the", "trial", "enrolled", residue.ANY, "participants", "over", "two", "years", "in", f"site{n}"])
+    own = tree.add("the trial enrolled xx participants over two years in site1".split())
+    assert "xx" in own[0]
+
+
+def test_crowded_leaves_are_split():
+    tree = residue.PrefixTree()
+    for a in range(40):
+        for b in range(10):
+            tree.add(["in", "the", f"a{a}", f"b{b}", f"c{a * b}", "d"])
+    assert max(map(len, tree.leaves.values())) <= residue.CROWD and sum(e[1] for e in tree.entries()) == 400

@@ -21,6 +21,32 @@ def test_leaks(spark, tables):
     assert sorted(tuple(r) for r in leakage.found(spark, sf).collect()) == [(1, 1), (2, 1), (7, 1)]
 
 
+LONG = "Two readers in Soveneth scored 761 diaries on liver safety and disagreed on 9, chiefly when the plant extract had simply been skipped by nearly all of the people who were asked to take it twice each day."
+
+
+def test_short_runs_without_figures_are_leaks(spark, tables):
+    """10, 12, 15 and 19 words of the item, word for word, none of them a figure or a name."""
+    words = LONG.split()
+    at = words.index("chiefly")
+    texts = {n: f"{PLAIN}{' '.join(words[at:at + n])}. {PLAIN}" for n in (9, 10, 12, 15, 19)}
+    sf = tables(documents=([(n, t) for n, t in texts.items()], "doc_id bigint, text string"), benchmark=([(1, LONG), (2, OTHER)], "item_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in leakage.found(spark, sf).collect()) == [10, 12, 15, 19]
+
+
+def test_a_run_belongs_to_the_item_that_has_more_of_it(spark, tables):
+    a = "Pharmacists in Balorun rejected 28 of every 819 scripts where blood pressure was missing or insomnia stood twice on the form of that day."
+    b = "Pharmacists in Raloria rejected 19 of every 316 leaflets where blood pressure was missing or insomnia stood twice on the desk."
+    sf = tables(documents=([(1, PLAIN + a + PLAIN), (2, PLAIN + b)], "doc_id bigint, text string"), benchmark=([(1, a), (2, b)], "item_id bigint, text string"))
+    assert sorted(tuple(r) for r in leakage.found(spark, sf).collect()) == [(1, 1), (2, 2)]
+
+
+def test_several_indexes_give_the_same(spark, tables, monkeypatch):
+    sf = tables(documents=([(1, PLAIN + ITEM), (2, OTHER + LONG)], "doc_id bigint, text string"), benchmark=([(1, ITEM), (2, OTHER), (3, LONG)], "item_id bigint, text string"))
+    once = sorted(tuple(r) for r in leakage.found(spark, sf).collect())
+    monkeypatch.setattr(leakage, "MAX_ITEMS", 1)
+    assert sorted(tuple(r) for r in leakage.found(spark, sf).collect()) == once and len(once) >= 3
+
+
 def test_no_items(spark, tables):
     sf = tables(documents=([(1, ITEM)], "doc_id bigint, text string"), benchmark=([], "item_id bigint, text string"))
     assert leakage.found(spark, sf).count() == 0

@@ -44,6 +44,7 @@ GROUP = 5_000  #: candidates of a leaf that are merged in one task; larger leave
 KINDS = ("ordinary", "error", "form", "notice", "filler")
 MINED = ("fixed", "alone", "lead", "sources")  #: what mining says of a template, each from 0 to 1
 WINDOW, RICH = 40, 0.5  #: tokens of a run, and the share of different ones up to which it may be filler
+FEW = 100_000  #: words that are broadcast; more are joined by shuffle
 IDLE = 0.5  #: share of a word's documents in which it stands in such a run, from which it is a filler's word
 
 # The cues by which templates are labelled for fitting, in English, Portuguese, Spanish, French and German.
@@ -398,9 +399,11 @@ def filler(found: DataFrame, docs: DataFrame) -> DataFrame:
     different words; a sentence of idle words is filler, wherever it stands."""
     inside = found.where("what = 'run'").select("key", F.explode(F.array_distinct(F.split("template", " "))).alias("w")).distinct().groupBy("w").agg(F.count("*").alias("inside"))
     words = docs.select("key", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("w"))
-    counted = words.join(inside.select("w"), "w", "left_semi").groupBy("w").agg(F.count("*").alias("n"))
+    few = lambda df: F.broadcast(df) if df.count() <= FEW else df
+    inside = cut(inside)
+    counted = words.join(few(inside.select("w")), "w", "left_semi").groupBy("w").agg(F.count("*").alias("n"))
     idle = cut(counted.join(inside, "w").where(F.col("inside") >= IDLE * F.col("n")).select("w"))
-    own = words.join(idle, "w", "left_semi").groupBy("key").agg(F.collect_set("w").alias("idle")).where(F.size("idle") >= 3)
+    own = words.join(few(idle), "w", "left_semi").groupBy("key").agg(F.collect_set("w").alias("idle")).where(F.size("idle") >= 3)
 
     @F.pandas_udf("boolean")
     def has_filler(texts: pd.Series, idles: pd.Series) -> pd.Series:

@@ -24,11 +24,6 @@ def _on_distinct(values: pd.Series, fn) -> pd.Series:
     return values.map(known).astype(object).where(values.notna(), None)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd_ascii(values: pd.Series) -> pd.Series:
-    return _on_distinct(values, lambda v: unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode("ascii"))
-
-
 @F.pandas_udf(T.StringType())
 def _nfkd_base(values: pd.Series) -> pd.Series:
     return _on_distinct(values, lambda v: "".join(ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch)))
@@ -50,10 +45,19 @@ def fold_accents(c: Column) -> Column:
     return F.when(done.rlike(NON_ASCII), _nfkd_base(done)).otherwise(done)
 
 
+#: What each character beyond ASCII becomes by compatibility decomposition, ASCII parts only, if that is not nothing.
+_FOLDED = {chr(n): a for n in (*range(0x80, 0xD800), *range(0xE000, 0x20000)) if (a := unicodedata.normalize("NFKD", chr(n)).encode("ascii", "ignore").decode())}
+_ONE = {ch: a for ch, a in _FOLDED.items() if len(a) == 1}
+_SEVERAL = {ch: a for ch, a in _FOLDED.items() if len(a) > 1}
+
+
 def ascii_fold(c: Column) -> Column:
-    """NFKD and then ASCII only; other characters vanish."""
-    done = F.translate(c, MARKED, PLAIN)
-    return F.when(done.rlike(NON_ASCII), _nfkd_ascii(done)).otherwise(done)
+    """NFKD and then ASCII only; other characters vanish. No Python: letters that become one letter are translated, those that
+    become several (ligatures and the like) are looked up where there are any."""
+    several = F.create_map(*[F.lit(x) for pair in _SEVERAL.items() for x in pair])
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(several, ch), ch)), "")
+    done = F.translate(F.when(c.rlike(f"[{''.join(_SEVERAL)}]"), spelled).otherwise(c), "".join(_ONE), "".join(_ONE.values()))
+    return F.when(c.rlike(NON_ASCII), F.regexp_replace(done, NON_ASCII, "")).otherwise(c)
 
 
 def squeeze(c: Column) -> Column:
@@ -84,6 +88,14 @@ def match_key(c: Column) -> Column:
     return lookup_text(F.when(keep, folded).otherwise(F.regexp_replace(folded, r"\s*\([^()]{1,10}\)$", "")))
 
 
+def plain_match_key(value: str) -> str:
+    """match_key of one value on the driver, for the few values of a request."""
+    folded = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii").strip()
+    if (m := re.search(r"\(([^()]{1,10})\)$", folded)) and m[1].strip().lower() != "unspecified":
+        folded = folded[: m.start()]
+    return " ".join(re.findall("[a-z0-9]+", folded.lower()))
+
+
 def identity_text(c: Column) -> Column:
     """HTML entities unescaped, lower case, everything but a-z and digits to one blank."""
     return lookup_text(F.when(c.contains("&"), _unescape(c)).otherwise(c))
@@ -101,7 +113,18 @@ def study_type_key(c: Column) -> Column:
 
 def split_list(c: Column) -> Column:
     """Values between commas, semicolons and line breaks, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(c, r"[,;\n]"), F.trim), lambda v: v != "")
+    return F.filter(F.transform(F.split(c, r"[,;\n]"), lambda v: F.trim(v)), lambda v: v != "")
+
+
+def label_list(values: Column, first: str, second: str) -> Column:
+    """Labels of an array of structs: the first field, else the second, empty ones left out, each once."""
+    filled = lambda v, name: F.nullif(v[name], F.lit(""))
+    return F.array_distinct(F.array_compact(F.transform(values, lambda v: F.coalesce(filled(v, first), filled(v, second)))))
+
+
+def redact(text: Column, limit: int = 0) -> Column:
+    """struct(sha256, chars, text) in place of a text: of the text only its first limit characters."""
+    return F.when(text.isNotNull(), F.struct(F.sha2(text, 256).alias("sha256"), F.length(text).alias("chars"), F.substring(text, 1, limit).alias("text")))
 
 
 def digit_runs(c: Column) -> Column:
@@ -127,8 +150,8 @@ def safe_fragment(c: Column) -> Column:
 
 
 def clip(c: Column, width: int) -> Column:
-    """At most width characters, cut at the last blank before that."""
-    cut = F.regexp_extract(c, rf"(?s)^(.{{0,{width - 1}}}) ", 1)
+    """At most width characters, cut at the last blank of those."""
+    cut = F.regexp_extract(F.substring(c, 1, width), r"(?s)^(.*) ", 1)
     return F.when(F.length(c) <= width, c).when(cut != "", cut).otherwise(F.substring(c, 1, width))
 
 

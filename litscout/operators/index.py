@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,27 +18,18 @@ def search_text(parts: Sequence[Column]) -> Column:
 
 
 def facet_rows(documents: DataFrame, families: dict[str, Column], aliases: dict[str, Column] | None = None) -> DataFrame:
-    """(family, value_key, document_id, display, is_canonical): one explode for all families. families gives arrays of values;
-    aliases gives arrays of struct(alias, display), found by filters but not counted."""
-    values = [_values(c, family) for family, c in families.items()] + [_aliases(c, family) for family, c in (aliases or {}).items()]
-    kind = "array<struct<family:string,raw:string,display:string,is_canonical:boolean>>"
-    rows = documents.select("document_id", F.explode(F.concat(*[F.coalesce(v, F.array().cast(kind)) for v in values])).alias("f"))
-    # Keys may need Python for rare letters; they are made for each distinct value, not for each row.
-    keys = rows.select("f.raw").distinct().withColumn("value_key", match_key(F.col("raw")))
-    named = rows.select("document_id", "f.*").join(keys, "raw")
-    return named.where("value_key <> ''").select("family", "value_key", "document_id", "display", "is_canonical").distinct()
+    """(family, value_key, document_id, display, is_canonical): one explode for all families, each cell of a row once. families
+    gives arrays of values; aliases gives arrays of struct(alias, display), found by filters but not counted. Nothing is shuffled;
+    rows repeated under one document_id give repeated cells, which counts of documents do not mind."""
+    values = [_cells(c, family, lambda v: v, lambda v: v, True) for family, c in families.items()]
+    values += [_cells(c, family, lambda v: v["alias"], lambda v: v["display"], False) for family, c in (aliases or {}).items()]
+    kind = "array<struct<family:string,value_key:string,display:string,is_canonical:boolean>>"
+    cells = F.array_distinct(F.concat(*[F.coalesce(v, F.array().cast(kind)) for v in values]))
+    return documents.select("document_id", F.explode(F.filter(cells, lambda f: f["value_key"] != "")).alias("f")).select("f.family", "f.value_key", "document_id", "f.display", "f.is_canonical")
 
 
-def _cell(family: str, raw: Column, display: Column, canonical: bool) -> Column:
-    return F.struct(F.lit(family).alias("family"), raw.alias("raw"), display.alias("display"), F.lit(canonical).alias("is_canonical"))
-
-
-def _values(values: Column, family: str) -> Column:
-    return F.transform(values, lambda v: _cell(family, v, v, True))
-
-
-def _aliases(values: Column, family: str) -> Column:
-    return F.transform(values, lambda v: _cell(family, v["alias"], v["display"], False))
+def _cells(values: Column, family: str, raw: Callable[[Column], Column], display: Callable[[Column], Column], canonical: bool) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(family).alias("family"), match_key(raw(v)).alias("value_key"), display(v).alias("display"), F.lit(canonical).alias("is_canonical")))
 
 
 def gate(df: DataFrame, reasons: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -60,14 +51,15 @@ def publish(frames: dict[str, DataFrame], folder: str, partition: dict[str, list
         df.write.partitionBy(*(partition or {}).get(name, [])).parquet(f"{folder}/versions/{build}/{name}")
     spark = next(iter(frames.values())).sparkSession
     pointer = json.dumps({"build": build, "frames": sorted(frames)})
-    fs = _files(spark, folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    with_name = path(f"{folder}/.current-{build}")
-    out = fs.create(with_name, True)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    with_name, current_name = hadoop.Path(f"{folder}/.current-{build}"), hadoop.Path(f"{folder}/CURRENT")
+    out = _files(spark, folder).create(with_name, True)
     out.write(bytearray(pointer.encode()))
     out.close()
-    fs.delete(path(f"{folder}/CURRENT"), False)
-    fs.rename(with_name, path(f"{folder}/CURRENT"))
+    # One rename that replaces the pointer: there is no moment without one.
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(current_name.toUri(), spark._jsc.hadoopConfiguration()).rename(with_name, current_name, options)
     return build
 
 

@@ -5,8 +5,8 @@ Every query runs over its whole tables. A limit stands only where it is the feat
 
 from __future__ import annotations
 
-from litscout.plans import records, scholarly, texts
+from litscout.plans import records, reports, scholarly, texts
 
 FLAGSHIP = "search_terms_facets"
-QUERIES = scholarly.QUERIES | texts.QUERIES | records.QUERIES
-ORACLES = scholarly.ORACLES | texts.ORACLES | records.ORACLES
+QUERIES = scholarly.QUERIES | texts.QUERIES | records.QUERIES | reports.QUERIES
+ORACLES = scholarly.ORACLES | texts.ORACLES | records.ORACLES | reports.ORACLES

@@ -122,12 +122,6 @@ def round_robin_hash(spark: SparkSession, sf: str) -> DataFrame:
     return windows.round_robin(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", order, 40).select("c_custkey", "c_mktsegment")
 
 
-@query("quota_sample")
-def quota_sample(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", "source", "lang")
-    return windows.quota_sample(rows, F.col("lang") == "pt", "source", [F.asc("doc_id")], 40)
-
-
 @query("stratified_sample")
 def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").select("doc_id", "lang", "source", F.lower("text").alias("t"), "n_chars")

@@ -10,9 +10,9 @@ from litscout.functions.text import blank_to_null
 from litscout.operators import aggregates, index, joins, search, windows
 from litscout.session import table
 
-QUERY = "cannabidiol and the adherence"
-REQUEST = search.Request(query=QUERY, filters={"lang": search.Filter(("en", "pt"))}, year_from=2008, limit=50)
-BOTH = search.Request(filters={"topic": search.Filter(("insomnia", "cannabidiol"), all_of=True)})
+QUERY = "Cannabidiol and the weeks"
+REQUEST = search.Request(query=QUERY, filters={"lang": search.Filter(("EN", "pt"))}, year_from=2008, limit=50)
+BOTH = search.Request(filters={"topic": search.Filter(("Insomnia", "cannabidiol (CBD)", "insomnia"), all_of=True)})
 QUERIES, ORACLES = {}, {}
 
 
@@ -45,7 +45,7 @@ def topics(spark: SparkSession, sf: str) -> DataFrame:
     return index.facet_rows(linked, {"topic": F.array("canonical_label_en")}, {"topic": F.array(F.struct(F.col("canonical_label").alias("alias"), F.col("canonical_label_en").alias("display")))})
 
 
-_TERMS = "lower(text) like '%cannabidiol%' and lower(text) like '%adherence%'"
+_TERMS = "lower(text) like '%cannabidiol%' and lower(text) like '%weeks%'"
 _SELECTED = f"select doc_id, publication_year, lang, source, n_chars from documents where {_TERMS} and lang in ('en', 'pt') and publication_year >= 2008"
 _SLUG = "trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -82,7 +82,7 @@ def search_match_all(spark: SparkSession, sf: str) -> DataFrame:
     f"""with f as (select 'lang' as family, doc_id, lang as display from ({_SELECTED}) union all select 'source', doc_id, source from ({_SELECTED}) union all
       select 'journal', doc_id, journal from documents where doc_id in (select doc_id from ({_SELECTED}))),
     c as (select family, {_SLUG.format("display")} as value_key, min(display) as display, count(distinct doc_id) as documents from f where display is not null group by 1, 2),
-    r as (select *, row_number() over (partition by family order by documents desc, value_key) as place from c)
+    r as (select *, row_number() over (partition by family order by documents desc, display, value_key) as place from c)
     select family, value_key, display, documents, place from r where place <= 5""",
 )
 def facet_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,14 +117,37 @@ def match_kind(spark: SparkSession, sf: str) -> DataFrame:
     words = search.terms("insomnia in children")
     rows = documents(spark, sf).where(search.matches(F.col("search_text"), words))
     title = F.element_at(F.split("text", "\n"), 1)
-    return rows.groupBy(search.match_kind({"title": title, "body": F.col("text")}, {"title"}, words).alias("kind")).agg(F.count("*").alias("n"))
+    return rows.groupBy(search.match_kind(search.match_reasons({"title": F.array(title), "body": F.array("text")}, search.Request("insomnia in children")), {"title"}, words).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("evidence_preview")
+@query(
+    "match_reasons",
+    """with d as (select doc_id, lower(text) as t, string_split(text, chr(10))[1] as title, lang, publication_year from documents where lower(text) like '%insomnia%' and lang in ('en', 'de') and publication_year >= 2010),
+    r as (select 'insomnia' as criterion, case when lower(title) like '%insomnia%' then 'title' else 'body' end as field from d union all select 'lang:EN', 'lang' from d where lang = 'en' union all select 'lang:de', 'lang' from d where lang = 'de'
+      union all select 'publication_year_from:2010', 'publication_year' from d)
+    select criterion, field, count(*) as n from r group by 1, 2""",
+)
+def match_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    """Why documents match a request, counted: query terms, filter values, years."""
+    request = search.Request("the Insomnia", {"lang": search.Filter(("EN", "de"))}, year_from=2010)
+    rows = search.select(documents(spark, sf), facets(spark, sf), request)
+    year = F.array(F.col("publication_year").cast("string"))
+    fields = {"title": F.array(F.element_at(F.split("text", "\n"), 1)), "body": F.array("text"), "lang": F.array("lang"), "publication_year": year}
+    return rows.select(F.explode(search.match_reasons(fields, request)).alias("r")).groupBy("r.criterion", "r.field").agg(F.count("*").alias("n"))
+
+
+@query(
+    "evidence_preview",
+    """with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents where lower(text) like '%insomnia%'),
+    r as (select doc_id, trim(line) as t, row_number() over (partition by doc_id order by (case when lower(line) like '%insomnia%' then 1 else 0 end) + (case when lower(line) like '%sleep%' then 1 else 0 end) desc, i) as n from l where trim(line) <> '')
+    select doc_id as document_id, case when length(t) > 320 then coalesce(nullif(regexp_extract(substr(t, 1, 320), '^(.*) ', 1), ''), substr(t, 1, 320)) else t end as preview, length(t) > 320 as truncated from r where n = 1""",
+)
 def evidence_preview(spark: SparkSession, sf: str) -> DataFrame:
-    words = search.terms("insomnia in children")
-    rows = documents(spark, sf).where(search.matches(F.col("search_text"), words))
-    return rows.select("document_id", search.preview(F.col("text"), words).alias("preview"))
+    """For each document on insomnia the line that has most of what is looked for."""
+    rows = documents(spark, sf).where(search.matches(F.col("search_text"), ["insomnia"]))
+    candidates = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("text"), F.lit(None).cast("string").alias("section"), F.lit("text").alias("source_field")))
+    wanted = search.target_terms(search.Request("Insomnia", {"topic": search.Filter(("sleep",))}))
+    return rows.withColumn("p", search.preview(candidates, wanted)).select("document_id", F.col("p.text").alias("preview"), "p.truncated")
 
 
 @query(
@@ -154,9 +177,10 @@ def coverage_percent(spark: SparkSession, sf: str) -> DataFrame:
     "identity_projection",
     """with v as (select document_id, 'pmid' as kind, nullif(regexp_replace(regexp_extract(pmid, '(\\d+)', 1), '^0+', ''), '') as value, 'index' as source from legacy_index
       union all select document_id, 'year', cast(publication_year as varchar), 'index' from legacy_index union all select document_id, 'year', cast(publication_year as varchar), 'study' from legacy_study where document_id is not null),
-    d as (select distinct document_id, kind, value, source from v where value is not null)
-    select document_id, kind, case when count(distinct value) = 1 then 'accepted' else 'conflict' end as state, case when count(distinct value) = 1 then min(value) end as value,
-      array_to_string(list_sort(list_distinct(list(source))), '+') as sources, count(distinct value) as distinct_values from d group by document_id, kind""",
+    d as (select distinct document_id, kind, value, source from v where value is not null),
+    p as (select document_id, kind, value, value || '<-' || array_to_string(list_sort(list(source)), '+') as c from d group by document_id, kind, value)
+    select document_id, kind, case when count(*) = 1 then 'accepted' else 'conflict' end as state, case when count(*) = 1 then min(value) end as value,
+      string_agg(c, ';' order by value) as candidates, count(*) as distinct_values from p group by document_id, kind""",
 )
 def identity_projection(spark: SparkSession, sf: str) -> DataFrame:
     old, study = table(spark, sf, "legacy_index"), table(spark, sf, "legacy_study")
@@ -164,7 +188,8 @@ def identity_projection(spark: SparkSession, sf: str) -> DataFrame:
     row = lambda df, kind, value, source: df.select("document_id", F.lit(kind).alias("kind"), value.alias("value"), F.lit(source).alias("source"))
     year = F.col("publication_year").cast("string")
     rows = row(old, "pmid", number, "index").unionByName(row(old, "year", year, "index")).unionByName(row(study.where("document_id is not null"), "year", year, "study"))
-    return aggregates.project_identity(rows, "document_id", "kind", "value", "source").withColumn("sources", F.array_join("sources", "+"))
+    shown = F.array_join(F.transform("candidates", lambda c: F.concat(c["value"], F.lit("<-"), F.array_join(c["sources"], "+"))), ";")
+    return aggregates.project_identity(rows, "document_id", "kind", "value", "source").withColumn("candidates", shown)
 
 
 @query(
@@ -183,14 +208,15 @@ def priority_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "multi_key_match",
-    """with a as (select document_id, lower(trim(normalized_title)) as t, canonical_url as u from legacy_index), b as (select legacy_id, lower(trim(title_en)) as t, canonical_url as u from legacy_study),
-    h as (select document_id, legacy_id, 'title' as m from a join b using (t) union select document_id, legacy_id, 'url' from a join b using (u))
-    select document_id, legacy_id, string_agg(m, '+' order by m) as methods from h group by 1, 2""",
+    """with a as (select document_id, pmid as p, lower(regexp_replace(trim(doi), '[).,;\\]]+$', '')) as d, lower(trim(normalized_title)) as t from legacy_index),
+    b as (select candidate_id, pmid as p, lower(regexp_replace(trim(doi), '[).,;\\]]+$', '')) as d, lower(trim(normalized_title)) as t from pubmed_candidate),
+    h as (select document_id, candidate_id, 'pmid' as m from a join b using (p) union select document_id, candidate_id, 'doi' from a join b using (d) union select document_id, candidate_id, 'normalized_title' from a join b using (t))
+    select document_id, candidate_id, string_agg(m, '+' order by m) as methods from h group by 1, 2""",
 )
 def multi_key_match(spark: SparkSession, sf: str) -> DataFrame:
-    left = table(spark, sf, "legacy_index").select("document_id", F.lower(F.trim("normalized_title")).alias("t"), F.col("canonical_url").alias("u"))
-    right = table(spark, sf, "legacy_study").select("legacy_id", F.lower(F.trim("title_en")).alias("t"), F.col("canonical_url").alias("u"))
-    return joins.multi_key_match(left, right, "document_id", "legacy_id", [("title", "t", "t"), ("url", "u", "u")])
+    """Candidates that have an identifier or the title of an earlier index, with all the methods that say so."""
+    shape = lambda name, key: table(spark, sf, name).select(key, F.col("pmid").alias("p"), ids.trimmed_doi(F.col("doi")).alias("d"), F.lower(F.trim("normalized_title")).alias("t"))
+    return joins.multi_key_match(shape("legacy_index", "document_id"), shape("pubmed_candidate", "candidate_id"), "document_id", "candidate_id", [("pmid", "p", "p"), ("doi", "d", "d"), ("normalized_title", "t", "t")])
 
 
 @query(
@@ -204,7 +230,8 @@ def completeness_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("fuzzy_title")
 def fuzzy_title(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.fuzzy_titles(table(spark, sf, "legacy_study"), table(spark, sf, "pubmed_candidate"), "legacy_id", "candidate_id", "title_en", "normalized_title")
+    """Candidates whose title is nearly one of the earlier index, in two classes."""
+    return joins.fuzzy_titles(table(spark, sf, "pubmed_candidate"), table(spark, sf, "legacy_index"), "candidate_id", "document_id", "title", "normalized_title", "publication_year", "publication_year")
 
 
 @query(
@@ -236,7 +263,7 @@ def best_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "stable_ids",
-    """select document_id, coalesce('doi:' || substr(sha256(nullif(lower(trim(doi)), '')), 1, 16), 'url:' || substr(sha256(canonical_url), 1, 16), 'legacy:' || document_id) as stable_id from documents""",
+    """select document_id, 'publication:' || coalesce('doi:' || substr(sha256(nullif(lower(trim(doi)), '')), 1, 16), 'url:' || substr(sha256(canonical_url), 1, 16), 'legacy:' || document_id) as stable_id from documents""",
 )
 def stable_ids(spark: SparkSession, sf: str) -> DataFrame:
     none = F.lit(None).cast("string")
@@ -253,16 +280,59 @@ def record_hashes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "identifier_from_url",
+    "url_hosts",
     r"""select document_id, nullif(regexp_replace(lower(regexp_extract(canonical_url, '(?i)^\s*[a-z][a-z0-9+.-]*://([^/?#:\s]+)', 1)), '^www\.', ''), '') as host,
       lower(regexp_extract(canonical_url, '(?i)^\s*([a-z][a-z0-9+.-]*)://', 1)) as scheme from documents""",
 )
-def identifier_from_url(spark: SparkSession, sf: str) -> DataFrame:
+def url_hosts(spark: SparkSession, sf: str) -> DataFrame:
     scheme = F.lower(F.regexp_extract("canonical_url", r"(?i)^\s*([a-z][a-z0-9+.-]*)://", 1))
     return table(spark, sf, "documents").select("document_id", ids.url_host(F.col("canonical_url")).alias("host"), scheme.alias("scheme"))
 
 
-@query("identifiers_normalized")
+@query(
+    "identifier_from_url",
+    r"""with u as (select candidate_id, 'https://pubmed.ncbi.nlm.nih.gov/' || trim(pmid) || '/?x=1' as p, 'see https://dx.doi.org/' || trim(doi) || '#top' as d, 'https://pmc.ncbi.nlm.nih.gov/articles/pmc' || candidate_id || '/' as c from pubmed_candidate)
+    select candidate_id, nullif(regexp_extract(p, 'gov/(\d{5,9})(/|$)', 1), '') as pmid, nullif(regexp_extract(d, '(?i)doi\.org/(10\.\d{4,9}/[^?#\s]+)', 1), '') as doi, 'pmc' || candidate_id as pmcid from u""",
+)
+def identifier_from_url(spark: SparkSession, sf: str) -> DataFrame:
+    """Identifiers of all candidates read back from addresses made of them as they are written."""
+    c = table(spark, sf, "pubmed_candidate")
+    made = {"pmid": F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), F.trim("pmid"), F.lit("/?x=1")), "doi": F.concat(F.lit("see https://dx.doi.org/"), F.trim("doi"), F.lit("#top")), "pmcid": F.concat(F.lit("https://pmc.ncbi.nlm.nih.gov/articles/pmc"), "candidate_id", F.lit("/"))}
+    return c.select("candidate_id", *[ids.from_address(kind, url).alias(kind) for kind, url in made.items()])
+
+
+@query(
+    "article_metadata",
+    """select candidate_id, pmid || ':nxml_article_id' as pmids, coalesce(lower(doi), 'none') || ':html_citation_meta' as dois from pubmed_candidate where pmid is not null""",
+)
+def article_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Identifiers of candidates read from articles made of them; the id of a cited work, outside article-meta, is not read."""
+    rows = table(spark, sf, "pubmed_candidate").where("pmid is not null").withColumn("d", F.coalesce(F.lower("doi"), F.lit("none")))
+    head = F.concat(F.lit("<article><article-meta><article-id pub-id-type='pmid'>"), "pmid", F.lit("</article-id></article-meta><ref><article-id pub-id-type='pmid'>99999999</article-id></ref></article>"))
+    page = F.concat(head, F.lit("<meta content=\""), "d", F.lit("\" name=\"citation_doi\"/>"))
+    shown = lambda kind: F.array_join(F.transform(ids.from_article(kind, page), lambda v: F.concat(v["value"], F.lit(":"), v["method"])), ";")
+    return rows.select("candidate_id", shown("pmid").alias("pmids"), shown("doi").alias("dois"))
+
+
+@query(
+    "preferred_urls",
+    r"""with c as (select candidate_id, case when regexp_full_match(trim(pmid), '\d{5,9}') then trim(pmid) end as p, case when regexp_full_match(lower(rtrim(trim(doi), '.,;)')), '10\.\d{4,9}/\S+') then lower(rtrim(trim(doi), '.,;)')) end as d from pubmed_candidate)
+    select candidate_id, case when p is not null then 'pubmed' when d is not null then 'doi' else 'canonical' end as url_kind,
+      coalesce('https://pubmed.ncbi.nlm.nih.gov/' || p || '/', 'https://doi.org/' || d, 'https://x.example/' || candidate_id) as url, 2 + (case when p is null then 0 else 1 end) + (case when d is null then 0 else 1 end) as urls from c""",
+)
+def preferred_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """The address to show for each candidate, and how many it has."""
+    own, machine = F.concat(F.lit("https://x.example/"), "candidate_id"), F.concat(F.lit("https://api.openalex.org/"), "candidate_id")
+    rows = table(spark, sf, "pubmed_candidate").select("candidate_id", ids.identity_urls(ids.identifier("pmid", F.col("pmid"))["value"], F.lit(None).cast("string"), ids.identifier("doi", F.col("doi"))["value"], own, machine).alias("u"))
+    return rows.withColumn("p", ids.preferred_url(F.col("u"))).select("candidate_id", "p.url_kind", "p.url", F.size("u").alias("urls"))
+
+
+@query(
+    "identifiers_normalized",
+    r"""with v as (select 'pmid' as kind, pmid as g, nullif(regexp_extract(rtrim(regexp_replace(trim(trim(pmid), '<>"'''), '^(PMID:|https?://pubmed\.ncbi\.nlm\.nih\.gov/)', '', 'i'), '/'), '^\d{5,9}$'), '') as value, 'trim_prefix_and_slash.v1' as rule from pubmed_candidate
+      union all select 'doi', doi, nullif(regexp_extract(rtrim(lower(regexp_replace(trim(trim(doi), '<>"'''), '^https?://(dx\.)?doi\.org/', '', 'i')), '.,;)'), '^10\.\d{4,9}/\S+$'), ''), 'lowercase_and_trim_punctuation.v1' from pubmed_candidate)
+    select kind, case when value is not null then rule end as rule, g is not null as given, count(*) as n, count(distinct value) as about_distinct from v group by 1, 2, 3""",
+)
 def identifiers_normalized(spark: SparkSession, sf: str) -> DataFrame:
     """Plain identifiers of candidates and the rule each needed, counted by kind."""
     rows = table(spark, sf, "pubmed_candidate").select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), ids.identifier(k, F.col(k)).alias("id"), F.col(k).isNotNull().alias("given")) for k in ("pmid", "doi")])).alias("r"))

@@ -49,26 +49,12 @@ def study_type_keys(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "corpus_record").groupBy(tx.study_type_key(F.col("legacy_study_type")).alias("study_type")).agg(F.count("*").alias("n"))
 
 
-@query(
-    "visible_text",
-    r"""select doc_id, md5(trim(regexp_replace(regexp_replace('<p>' || replace(text, chr(10), '</p><p>') || '</p><script>x</script>', '<script>x</script>|<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) as hash from documents where text not like '%<%' and text not like '%&%'
-      and regexp_full_match(text, '[\x00-\x7F]*')""",
-)
+@query("visible_text")
 def visible_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Markup put around plain ASCII texts and taken off again: the part of visible_text_all that SQL can follow."""
-    rows = table(spark, sf, "documents").where(~F.col("text").contains("<") & ~F.col("text").contains("&") & ~F.col("text").rlike(tx.NON_ASCII))
-    return _visible(rows)
-
-
-def _visible(rows: DataFrame) -> DataFrame:
+    """Markup put around all documents and taken off again; a null text has a null hash. Entities and blanks of all kinds are more
+    than SQL can follow; tests compare with brute force."""
     marked = F.concat(F.lit("<p>"), F.replace(F.col("text"), F.lit("\n"), F.lit("</p><p>")), F.lit("</p><script>x</script>"))
-    return rows.select("doc_id", F.md5(tx.visible_text(marked)).alias("hash"))
-
-
-@query("visible_text_all")
-def visible_text_all(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents, with the markup, entities and letters that SQL cannot follow; a null text has a null hash."""
-    return _visible(table(spark, sf, "documents"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(tx.visible_text(marked)).alias("hash"))
 
 
 @query(
@@ -112,9 +98,15 @@ def sample_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.explode(evidence.sample_sizes("text")).alias("s")).select("doc_id", "s.*")
 
 
-@query("sentence_spans")
+@query(
+    "sentence_spans",
+    r"""with s as (select doc_id, unnest(regexp_extract_all(text, '[^.!?]{20,700}[.!?]')) as t from documents) select doc_id, count(*) as sentences, cast(sum(length(t)) as bigint) as chars,
+      md5(string_agg(regexp_replace(t, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '|' order by regexp_replace(t, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'))) as hash from s group by doc_id""",
+)
 def sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.explode(tx.sentence_spans("text")).alias("s")).select("doc_id", "s.*")
+    rows = table(spark, sf, "documents").select("doc_id", F.explode(tx.sentence_spans("text")).alias("s"))
+    joined = F.array_join(F.array_sort(F.collect_list("s.text")), "|")
+    return rows.groupBy("doc_id").agg(F.count("*").alias("sentences"), F.sum(F.col("s.char_end") - F.col("s.char_start")).alias("chars"), F.md5(joined).alias("hash"))
 
 
 @query("evidence_around")
@@ -122,20 +114,21 @@ def evidence_around(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", evidence.around(F.col("text"), r"\d+ weeks").alias("evidence")).where("evidence is not null")
 
 
-@query("references_cut", "select doc_id, md5(substr(case when strpos(substr(lower(text), 501), ' results ') > 0 then text else text end, 1, 60000)) as hash from documents where strpos(lower(text), ' references ') = 0 and strpos(lower(text), ' bibliography ') = 0")
-def references_cut(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").where(~F.lower("text").contains(" references ") & ~F.lower("text").contains(" bibliography "))
-    return rows.select("doc_id", F.md5(evidence.cut_references(F.col("text"))).alias("hash"))
+_LIST = "' ' || repeat('word ', 1100) || 'references ' || text"
 
 
 @query(
-    "references_cut_all",
-    """with p as (select doc_id, text, nullif(strpos(substr(lower(text), 5001), ' references '), 0) as r, nullif(strpos(substr(lower(text), 5001), ' bibliography '), 0) as b from documents)
-    select doc_id, md5(case when coalesce(r, b) is null then text else substr(text, 1, 4999 + least(coalesce(r, b), coalesce(b, r))) end) as hash from p""",
+    "references_cut",
+    f"""with t as (select doc_id, case when doc_id % 2 = 0 then text || {_LIST} else text || ' bibliography ' || text end as text from documents),
+    p as (select doc_id, text, nullif(strpos(substr(lower(text), 5001), ' references '), 0) as r, nullif(strpos(substr(lower(text), 5001), ' bibliography '), 0) as b from t)
+    select doc_id, length(text) as given, md5(case when coalesce(r, b) is null then text else substr(text, 1, 4999 + coalesce(r, b)) end) as hash from p""",
 )
-def references_cut_all(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents, cut at their references and nowhere else."""
-    return table(spark, sf, "documents").select("doc_id", F.md5(evidence.cut_references(F.col("text"), most=None)).alias("hash"))
+def references_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, each with a list of references put behind it, cut at the list if that starts late enough."""
+    long = F.concat("text", F.lit(" " + "word " * 1100 + "references "), "text")
+    listed = F.when(F.col("doc_id") % 2 == 0, long).otherwise(F.concat("text", F.lit(" bibliography "), "text"))
+    rows = table(spark, sf, "documents").select("doc_id", listed.alias("text"))
+    return rows.select("doc_id", F.length("text").cast("bigint").alias("given"), F.md5(evidence.cut_references(F.col("text"), most=None)).alias("hash"))
 
 
 @query(
@@ -161,10 +154,19 @@ _PAIR_SQL = """with p as (select document_id, string_split(trim(regexp_replace(l
 @query("grounding_bigrams", _PAIR_SQL)
 def grounding_bigrams(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "publication").where("title_en is not null and normalized_title is not null").select("document_id", tx.lookup_text(F.col("title_en")).alias("e"), tx.lookup_text(F.col("normalized_title")).alias("s"))
-    return rows.where(F.size(evidence.bigrams(F.col("e"))) > 0).select("document_id", F.round(evidence.grounding_score(F.col("e"), F.col("s")), 4).alias("score"))
+    return rows.where(F.col("e").contains(" ")).select("document_id", F.round(evidence.grounding_score("e", "s"), 4).alias("score"))
 
 
-@query("grounding_status")
+@query(
+    "grounding_status",
+    r"""with l as (select distinct link_id, document_id, evidence_text from document_ontology_link where evidence_text is not null),
+    n as (select link_id, trim(regexp_replace(lower(evidence_text), '[^a-z0-9]+', ' ', 'g')) as e, trim(regexp_replace(lower(concat_ws(' ', title_pt, title_en, abstract)), '[^a-z0-9]+', ' ', 'g')) as s from l join publication p on p.document_id = l.document_id),
+    w as (select *, string_split(e, ' ') as ew, string_split(s, ' ') as sw, e <> '' and contains(s, e) as exact from n),
+    b as (select *, [ew[i] || ' ' || ew[i + 1] for i in range(1, len(ew))] as eb, [sw[i] || ' ' || sw[i + 1] for i in range(1, len(sw))] as sb from w),
+    g as (select exact, len(ew) as words, case when exact then 1.0 when len(eb) = 0 then case when e <> '' and list_contains(sw, e) then 1.0 else 0.0 end
+      else round(len([x for x in eb if list_contains(sb, x)]) / cast(len(eb) as double), 4) end as score from b)
+    select case when exact then 'exact' when words >= 6 and score >= 0.8 then 'tolerant' else 'review' end as status, count(*) as n, round(avg(score), 4) as mean_score from g group by 1""",
+)
 def grounding_status(spark: SparkSession, sf: str) -> DataFrame:
     """Every ontology link's quoted evidence against the title of its publication."""
     links = table(spark, sf, "document_ontology_link").where("evidence_text is not null").select("document_id", "link_id", "evidence_text").dropDuplicates(["link_id"])

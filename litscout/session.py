@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 
@@ -41,10 +42,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Only where it is unset, as in tests, one of our own is made and set."""
+    """The folder in spark.checkpoint.dir. Only where it is unset and all executors are in this process, as in tests, one of
+    our own is made and set; elsewhere that is an error, since executors cannot share a folder of this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="litscout-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
@@ -57,6 +61,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A frame for work that costs far more than its input: one of fewer partitions than cores is dealt out to all of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def fixed_size(df: DataFrame, limit: int, what: str) -> list:
     """Collect a table whose size is bounded by contract; more than limit rows is an error, never a cut."""
     rows = df.limit(limit + 1).collect()

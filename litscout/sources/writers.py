@@ -56,3 +56,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def materialise(spark: SparkSession, source: str, target: str, sha256: str) -> bool:
+    """Copy a file and check its hash: True if copied, False if the right one was there already; ValueError if the source has
+    another hash. The copy appears under its name only when it is whole."""
+    if _exists(spark, target) and _sha256(spark, target) == sha256:
+        return False
+    if _sha256(spark, source) != sha256:
+        raise ValueError(f"{source} has another hash")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    a, b, part = hadoop.Path(source), hadoop.Path(target), hadoop.Path(f"{target}.part")
+    fs = b.getFileSystem(conf)
+    hadoop.FileUtil.copy(a.getFileSystem(conf), a, fs, part, False, True, conf)
+    fs.delete(b, False)
+    fs.rename(part, b)
+    return True
+
+
+def _sha256(spark: SparkSession, path: str) -> str:
+    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]

@@ -1,11 +0,0 @@
-import __spark_entry__ as entry
-
-
-def test_every_oracle_has_its_query():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_flagship_has_a_stable_schema(spark):
-    df = entry.entry(spark)
-    assert df.columns == ["document_id", "publication_year", "n_chars"]
-    assert df.count() >= 0

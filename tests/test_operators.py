@@ -48,9 +48,28 @@ def test_aliases_filter_but_do_not_count(docs):
     assert {r["value_key"] for r in search.facet_counts(docs, facets, 10).collect()} == {"insomnia", "pain"}
 
 
-def test_match_kind_and_preview(docs):
-    kind = docs.where("body is not null").select("document_id", search.match_kind({"body": F.col("body")}, {"body"}, ["insomnia"]).alias("k"), search.preview(F.col("body"), ["insomnia"]).alias("p"))
-    assert rows(kind) == [(1, "direct", "Oral drug for insomnia."), (2, "direct", "insomnia and pain drug")]
+def test_match_reasons_kind_and_preview(docs):
+    fields = {"topic": F.col("topics"), "body": F.array_compact(F.array("body")), "publication_year": F.array(F.col("publication_year").cast("string"))}
+    of = lambda request: docs.where("body is not null").select("document_id", search.match_reasons(fields, request).alias("r")).select("document_id", "r", search.match_kind(F.col("r"), {"topic"}, search.terms(request.query)).alias("k"))
+    got = {r["document_id"]: r for r in of(search.Request("the insomnia drug", {"topic": search.Filter(("Insomnia",))}, year_from=1990)).collect()}
+    assert [(x["criterion"], x["field"]) for x in got[1]["r"]][:2] == [("insomnia", "topic"), ("drug", "body")] and got[1]["k"] == "tangential"
+    assert ("topic:Insomnia", "topic") in [(x["criterion"], x["field"]) for x in got[1]["r"]]
+    by_filter = {r["document_id"]: r["k"] for r in of(search.Request(filters={"topic": search.Filter(("INSOMNIA",))})).collect()}
+    assert by_filter[1] == "direct"
+    assert {r["k"] for r in of(search.Request(year_from=1990)).where("size(r) > 0").collect()} == {"tangential"} and {r["k"] for r in of(search.Request()).collect()} == {"direct"}
+    spans = F.array(*[F.struct(F.lit(t).alias("text"), F.lit("s").alias("section"), F.lit("spans").alias("source_field")) for t in ("  ", "Nothing here.", "Oral drug for insomnia.", "Drug and insomnia again")])
+    p = docs.limit(1).select(search.preview(spans, search.target_terms(search.Request("drug", {"topic": search.Filter(("Insomnia (INS)",))}))).alias("p"), search.preview(spans, ["drug"], 9).alias("q"), search.preview(F.slice(spans, 1, 1), ["x"]).alias("n")).first()
+    assert (p["p"]["text"], p["p"]["truncated"]) == ("Oral drug for insomnia.", False) and (p["q"]["text"], p["q"]["truncated"]) == ("Oral drug", True) or p["q"]["text"] == "Oral"
+    assert p["n"] is None
+
+
+def test_filters_are_match_keys(docs):
+    facets = index.facet_rows(docs, {"topic": F.col("topics")})
+    same = [search.with_facets(docs, facets, {"topic": search.Filter(v, all_of=True)}).count() for v in (("insomnia",), ("Insomnia", "INSOMNIA (ABC)"), ("ínsómnia", "--"))]
+    assert same[0] > 0 and len(set(same)) == 1
+    assert search.search_trace(search.Request("a pain", {"topic": search.Filter(("!",))}, has_uncertainty=True)) == {"terms": ["pain"], "asked": {"topic": {"values": ["!"], "match": "any"}, "has_uncertainty": True}, "applied": {"has_uncertainty": True}}
+    with pytest.raises(ValueError):
+        search.Request(year_from=1200)
 
 
 def test_publish_and_current(spark, docs, tmp_path):
@@ -95,11 +114,22 @@ def test_joins(spark):
 def test_fuzzy_titles_against_brute_force(spark):
     import difflib
 
-    names = ["cannabidiol for chronic pain in older adults", "cannabidiol for chronic pain in older adult", "nabilone in insomnia of children", "nabilone in insomnia of young children", "other things"]
-    a, b = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, t string"), spark.createDataFrame([(i, n + " ") for i, n in enumerate(names)], "j int, u string")
-    got = {(r["i"], r["j"]) for r in joins.fuzzy_titles(a, b, "i", "j", "t", "u", 0.5, 0.9).collect()}
-    best = {i: max(range(len(names)), key=lambda j: difflib.SequenceMatcher(None, n, names[j], autojunk=False).ratio()) for i, n in enumerate(names)}
-    assert got == set(best.items())
+    base = ["cannabidiol for chronic pain in older adults", "nabilone in insomnia of children from the north", "dronabinol and migraine of shift workers in the west", "a scoping review of glaucoma and whole plant extract"]
+    names = [v for n in base for v in (n, n[:-1], n.replace("in", "on", 1), n + " again", n.replace("a", "e", 2), "other " + n)] + ["other things"]
+    right = names[::2]
+    a = spark.createDataFrame([(i, n, 2000 + i % 3) for i, n in enumerate(names)] + [(99, names[0], 2099), (100, None, 2000)], "i int, t string, y int")
+    b = spark.createDataFrame([(j, n, 2002) for j, n in enumerate(right)], "j int, u string, z int")
+    got = {(r["i"], r["j"], r["class"]) for r in joins.fuzzy_titles(a, b, "i", "j", "t", "u", "y", "z").collect()}
+    words = lambda n: {w for w in n.split() if len(w) > 2 and w not in joins.GENERIC}
+    expected = set()
+    for i, n in enumerate(names):
+        ratio, j = max((difflib.SequenceMatcher(None, n, u).ratio(), -j) for j, u in enumerate(right))
+        shared = len(words(n) & words(right[-j])) / max(1, min(len(words(n)), len(words(right[-j]))))
+        for name, least, of in joins.CLASSES:
+            if ratio >= least and shared >= of:
+                expected.add((i, -j, name))
+                break
+    assert got == expected and len({c for *_, c in got}) == 2
 
 
 def test_merge(spark):
@@ -115,7 +145,11 @@ def test_evidence(spark):
     got = [r["g"] for r in df.select(evidence.grounding(F.col("e"), F.col("s")).alias("g")).collect()]
     assert [(g["exact"], g["status"]) for g in got] == [(True, "exact"), (False, "tolerant"), (False, "review"), (False, "review")]
     found = spark.createDataFrame([("We saw 24 patients and 1,200 adults in 1999 people; n = 24.",)], "t string").select(evidence.sample_sizes("t").alias("s")).first()["s"]
-    assert [(s["count"], s["scope"]) for s in found] == [(24, "patients"), (1200, "adults"), (24, "n")]
+    assert [(s["count"], s["scope"], s["method"]) for s in found] == [(24, "patients", "figure")]
+    text = "Records (n = 1,200) and twenty-four mice; a sample size of 77. We randomised arms of n = 12 and n=13. Patients were enrolled: 50, 1999 studies."
+    found = spark.createDataFrame([(text,)], "t string").select(evidence.sample_sizes("t").alias("s")).first()["s"]
+    assert [(s["count"], s["scope"], s["method"]) for s in found] == [(1200, "records_or_charts", "figure"), (50, "patients", "figure"), (77, "unknown", "figure"), (24, "animals", "word"), (25, "participants", "arms")]
+    assert all("24" in text[s["char_start"] : s["char_end"]] or s["method"] != "figure" or str(s["count"])[:1] in text[s["char_start"] : s["char_end"]] for s in found)
     fixed = spark.createDataFrame([(["buy", "view", "odd", "buy"],)], "v array<string>").select(evidence.repair_values(F.col("v"), ["view", "purchase"], {"buy": "purchase"}).alias("r")).first()["r"]
     assert fixed["kept"] == ["purchase", "view"] and fixed["dropped"] == ["odd"]
 

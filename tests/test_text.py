@@ -50,9 +50,13 @@ def test_lists_and_tokens(spark):
 
 
 def test_identifiers(spark):
-    assert one(spark, "PMID: 0012345", lambda c: ids.identifier("pmid", c))["value"] == "12345"
-    assert one(spark, "https://x.example/articles/PMC77/", lambda c: ids.identifier("pmcid", c))["value"] == "PMC77"
-    assert one(spark, "https://doi.example/10.1000/AB.c).", lambda c: ids.identifier("doi", c))["value"] == "10.1000/ab.c"
+    of = lambda kind, v: one(spark, v, lambda c: ids.identifier(kind, c))
+    assert tuple(of("pmid", "PMID:0012345")) == ("0012345", "trim_prefix_and_slash.v1") and of("pmid", "https://pubmed.ncbi.nlm.nih.gov/123456/")["value"] == "123456"
+    assert of("pmid", "PMID: 12345") is None and of("pmid", "1234") is None
+    assert tuple(of("pmcid", "https://pmc.ncbi.nlm.nih.gov/articles/pmc77/")) == ("PMC77", "uppercase_and_trim_route.v1") and of("pmcid", "77") is None
+    assert tuple(of("doi", "https://dx.doi.org/10.1000/AB.c).")) == ("10.1000/ab.c", "lowercase_and_trim_punctuation.v1") and of("doi", "10.1000%2Fa+b")["value"] == "10.1000/a+b"
+    assert tuple(of("doi", "10.3389/FX.1/full?x=1")) == ("10.3389/fx.1", "frontiers_full_route_suffix.v1") and of("doi", "10.1000/x/full")["value"] == "10.1000/x/full"
+    assert one(spark, "x", lambda c: ids.stable_id(F.lit(None).cast("string"), c, c, c, c, c)) == "publication:pmcid:x"
     assert one(spark, "none", lambda c: ids.identifier("doi", c)) is None
     assert one(spark, "HTTPS://Www.X.Example:80/A/b/?q=1#f", ids.canonical_url) == "https://www.x.example:80/A/b?q=1"
     assert one(spark, "HTTPS://Www.X.Example:80/A", ids.url_host) == "x.example"
@@ -65,3 +69,16 @@ def test_record_hash_equals_json(spark):
     row = {"b": 'quote " and \\', "a": "x"}
     made = spark.createDataFrame([(row["a"], row["b"])], "a string, b string").select(ids.record_hash({"b": F.col("b"), "a": F.col("a")})).first()[0]
     assert made == hashlib.sha256(json.dumps(row, sort_keys=True).encode()).hexdigest()[:24]
+
+
+def test_ascii_folding_equals_decomposition(spark):
+    import unicodedata
+
+    values = ["Ærø ﬁne Ⅳ ½ ㎏ Ħ ő ş Ǽ", "naïve—café", "漢字 ß ﷺ", "plain", "", "".join(chr(n) for n in range(0xA0, 0x250)), "".join(chr(n) for n in range(0x1D400, 0x1D480)), "e\u0301"]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(tx.ascii_fold(F.col("v"))).collect()]
+    assert got == [unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode() for v in values]
+
+
+def test_plain_match_key_equals_match_key(spark):
+    values = ["Dor crônica (DC)", "Pain (unspecified)", "x (a very long bracket)", " A-b  c ", "(abc)", "é (İ)"]
+    assert [one(spark, v, tx.match_key) for v in values] == [tx.plain_match_key(v) for v in values]

@@ -35,7 +35,7 @@ PHRASES = {
 }
 PARTS = {"second cohort": "cohort2", "third cohort": "cohort3", "followup phase": "followup", "followup study": "followup"}
 STOP = set("of for in from at the on a an to and with by o os as um uma de da do das dos em no na nos nas para sobre por com ao".split())
-NOISE = set("retracted retraction retracao corrected correction corrigido erratum notice errata results effects report clinical hospital adult".split())
+NOISE = set("retracted retraction retracao corrected correction corrigido erratum notice errata results effects report clinical hospital adult treatment".split())
 
 
 def simple(text: str) -> str:
@@ -61,10 +61,24 @@ class Reader:
 
     def __init__(self, phrases: dict[str, str]) -> None:
         self.phrases = {k: v for k, v in phrases.items() if k and k != v}
+        # Single long words of the phrases, by what they become without a letter or two: slips of the pen in them.
+        self.single = {k for k in self.phrases if " " not in k and len(k) > 8}
+        self.stubs: dict[str, set[str]] = {}
+        for word in self.single:
+            for stub in Bare._without_two(word):
+                self.stubs.setdefault(stub, set()).add(word)
+        self.words = {w for v in (*self.phrases, *self.phrases.values()) for w in v.split()}
         self.pattern = re.compile(r"\b(?:" + "|".join(map(re.escape, sorted(self.phrases, key=lambda k: (-len(k), k)))) + r")\b")
 
+    def meant(self, word: str) -> str:
+        """The word of the phrases of which a word is a slip of the pen; the word itself if it is none, or of several."""
+        if len(word) < 8 or word in self.words:
+            return word
+        near = {w for stub in Bare._without_two(word) for w in self.stubs.get(stub, ()) if distance(word, w, 2) <= 2}
+        return near.pop() if len(near) == 1 else word
+
     def read(self, title: str | None) -> tuple[list[str], str]:
-        text = simple(title or "")
+        text = " ".join(map(self.meant, simple(title or "").split()))
         for _ in range(2):  # a replacement may complete another phrase
             text = " ".join(self.pattern.sub(lambda m: self.phrases[m.group()], text).split())
         part = ""
@@ -199,6 +213,13 @@ def _noise(word: str) -> bool:
     return len(word) > 4 and (word in _NEAR_NOISE or any(word[:k] + word[k + 1 :] in _NEAR_NOISE for k in range(len(word))))
 
 
+def _slips(a: list[str], i: list[int], b: list[str], j: list[int]) -> bool:
+    """Whether the words at some places, run together, differ by slips of the pen only."""
+    x, y = "".join(a[k] for k in i), "".join(b[k] for k in j)
+    allowed = 1 if max(len(x), len(y)) < 7 else 2 if max(len(x), len(y)) < 14 else 3
+    return distance(x, y, allowed) <= allowed
+
+
 def level(a: list[str], b: list[str], common: set[str]) -> int:
     """3: the same words in any order. 2: but for slips of the pen. 1: one title lacks a phrase at its start or end, slips
     apart. 0: neither."""
@@ -210,13 +231,13 @@ def level(a: list[str], b: list[str], common: set[str]) -> int:
     x, y = set(a), set(b)
     if (shared := len(x & y)) < SHARED or 2 * shared < min(len(x), len(y)):
         return 0
+    if i and j and _slips(a, i, b, j):  # before words near to notice words go, which may be halves of others: "case reprot"
+        return 2
     i, j = [k for k in i if not _noise(a[k])], [k for k in j if not _noise(b[k])]
     if not i and not j:
         return 2
     if i and j:
-        x, y = "".join(a[k] for k in i), "".join(b[k] for k in j)
-        allowed = 1 if max(len(x), len(y)) < 7 else 2 if max(len(x), len(y)) < 14 else 3
-        if distance(x, y, allowed) <= allowed:
+        if _slips(a, i, b, j):
             return 2
         # Slips word by word; what remains must be a phrase of one title only.
         for k in list(i):

@@ -1,9 +1,11 @@
 """Problem 5: records that differ only in how they are written.
 
-Method: progressive partition refinement. A partition of the rows starts from invariants that are cheap to compute
-and that no formatting difference changes (length after stripping and a histogram over letter groups, hashed to eight
-bytes), so that only short keys are shuffled, after map-side combining. The costly keys are computed only for rows in
-classes with several members, which are then split by them.
+Method: progressive partition refinement. A partition of the rows starts from an invariant of the column as it is, which is
+cheap to compute and which no formatting difference changes: how often some groups of letters and digits occur, hashed to
+eight bytes, so that only short keys are shuffled, after map-side combining. Rows alone in their class are done with. Only for
+the others the text is stripped and its eight-byte hash refines the classes; only for those still with others the exact
+keys are compared, as 128-bit hashes. The table is read once for each of the two sides of a refinement, which costs less
+than to shuffle the texts of all rows.
 
 Defined results: a null key, or one without any letter or digit, is in no class. Rows repeated under one id count as
 one copy of that id. An empty table gives an empty result. Other columns are ignored, whatever their names.
@@ -18,8 +20,10 @@ from pyspark.sql import functions as F
 
 from litscout.session import table
 
-#: Groups of the histogram: rarer letters together, digits apart, since addresses differ in little else.
-GROUPS = ("a", "e", "i", "o", "rl", "st", "nu", "cdm", *"0123456789")
+#: Groups of letters and digits of the histogram of titles.
+LETTERS = ("ae", "io", "rl", "st", "nu", "cdm", "1234", "5678")
+#: Of addresses: none of the letters and digits of a scheme, www. and a default port, which may be there or not.
+ADDRESS = ("ae", "io", "nu", "rl", "cdm", *"125679")
 
 
 def letters_and_digits(c: Column) -> Column:
@@ -27,10 +31,10 @@ def letters_and_digits(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "")
 
 
-def invariants(c: Column) -> Column:
-    """Length and letter histogram of an already stripped text, as one 64-bit hash. The order of its parts is immaterial."""
-    size = F.length(c)
-    return F.xxhash64(size, *[size - F.length(F.translate(c, g, "")) for g in GROUPS])
+def invariants(c: Column, groups: Sequence[str]) -> Column:
+    """How often each group of ASCII letters and digits occurs, as one 64-bit hash; case, order and all else are immaterial."""
+    low = F.lower(c)
+    return F.xxhash64(*[F.length(low) - F.length(F.translate(low, g, "")) for g in groups])
 
 
 def plain_doi(c: Column) -> Column:
@@ -56,19 +60,24 @@ def plain_url(bare: Column) -> Column:
     return F.concat(path, F.lit("?"), params)
 
 
-def refine(df: DataFrame, key: str, strip: dict[str, Column], cheap: Column, exact: Sequence[Column]) -> DataFrame:
-    """Classes of rows whose exact keys agree: (class_id, key), several ids or one, for rows that cheap invariants left with others.
+def with_others(df: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not theirs alone."""
+    several = df.groupBy(key).count().where("count > 1").select(key)
+    return df.join(several, key, "left_semi")
 
-    strip: columns from which cheap and exact are computed, each once; a null in the first means that the row belongs to
-    no class. cheap must agree for rows whose exact keys agree, and is never null, so that no filter repeats it. Null and
-    null agree in exact. class_id is a 128-bit hash of the exact keys.
+
+def refine(df: DataFrame, key: str, cheap: Column, exact: Sequence[Column]) -> DataFrame:
+    """Classes of rows whose exact keys agree: (class_id, key), several ids or one, for rows that cheaper keys left with others.
+
+    cheap must agree for rows whose exact keys agree; rows where it is null belong to no class, nor do those where the first
+    exact key is null. Null and null agree in the others. class_id is a 128-bit hash of the exact keys.
     """
-    stripped = df.select(F.col(key).alias("key"), *[c.alias(n) for n, c in strip.items()])
-    keyed = stripped.where(F.col("key").isNotNull() & F.col(next(iter(strip))).isNotNull()).withColumn("_cheap", cheap)
-    several = keyed.groupBy("_cheap").count().where("count > 1").select("_cheap")
-    inside = keyed.join(several, "_cheap", "left_semi")
+    columns = [c for c in df.columns if c != key]
+    rows = df.select(F.col(key).alias("key"), *columns).where("key is not null").withColumn("_cheap", cheap).where("_cheap is not null")
     parts = [F.coalesce(F.concat(F.lit("="), c), F.lit("null")) for c in exact]
-    return inside.select(F.md5(F.concat_ws("\u0001", *parts)).alias("class_id"), "key").distinct()
+    whole = F.when(exact[0].isNotNull(), F.concat_ws("\u0001", *parts))
+    closer = with_others(rows, "_cheap").select("key", whole.alias("_whole")).where("_whole is not null").distinct().withColumn("_close", F.xxhash64("_whole"))
+    return with_others(closer, "_close").select(F.md5("_whole").alias("class_id"), "key").distinct()
 
 
 def pairs(members: DataFrame) -> DataFrame:
@@ -83,15 +92,16 @@ def representatives(classes: DataFrame) -> DataFrame:
 
 
 def publications(spark: SparkSession, sf: str) -> DataFrame:
-    stripped = F.nullif(letters_and_digits(F.col("normalized_title")), F.lit(""))
-    return refine(table(spark, sf, "publication"), "document_id", {"s": stripped}, invariants(F.col("s")), [F.col("s")])
+    title = F.col("normalized_title")
+    stripped = F.nullif(letters_and_digits(title), F.lit(""))
+    return refine(table(spark, sf, "publication").select("document_id", "normalized_title"), "document_id", F.when(title.isNotNull(), invariants(title, LETTERS)), [stripped])
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    bare = F.nullif(bare_url(F.col("canonical_url")), F.lit(""))
-    df = table(spark, sf, "documents").select("document_id", bare.alias("u"), plain_doi(F.col("doi")).alias("doi"))
-    strip = {"u": F.col("u"), "doi": F.col("doi"), "s": letters_and_digits(F.col("u"))}
-    return refine(df, "document_id", strip, invariants(F.col("s")), [plain_url(F.col("u")), F.col("doi")])
+    url = F.col("canonical_url")
+    bare = F.nullif(bare_url(url), F.lit(""))
+    df = table(spark, sf, "documents").select("document_id", "canonical_url", "doi")
+    return refine(df, "document_id", F.when(url.isNotNull(), invariants(url, ADDRESS)), [plain_url(bare), plain_doi(F.col("doi"))])
 
 
 def _both(spark: SparkSession, sf: str, form) -> DataFrame:

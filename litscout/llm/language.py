@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litscout.session import table
+from litscout.session import spread, table
 
 LANGUAGES = ("en", "pt", "es", "fr", "de")
 SAMPLE = 400  #: labelled rows of each language for training; at most 1,000, so that Spark limits groups before the shuffle
@@ -259,13 +259,14 @@ def segmented(spark: SparkSession, sf: str) -> DataFrame:
     """publication with the parts of abstract and title_pt; the network is trained when this is called."""
     sample = labelled(table(spark, sf, "documents"), "doc_id", "text", "lang").select("text", "label").toPandas()  # bounded by SAMPLE
     network = fit(sample)
-    rows = table(spark, sf, "publication").select("document_id", "language", "abstract", "title_pt")
+    rows = spread(table(spark, sf, "publication").select("document_id", "language", "abstract", "title_pt"))
     return rows.withColumn("a", parts_of(network, F.col("abstract"))).withColumn("t", parts_of(network, F.col("title_pt")))
 
 
 def main_language(parts: Column) -> Column:
-    """The language of the greatest confidence times length; null without parts. Ties go to the later code."""
-    sizes = F.transform(parts, lambda p: F.struct((p["confidence"] * (p["char_end"] - p["char_start"])).alias("s"), p["lang"].alias("l")))
+    """The language of the greatest confidence times length; null without parts. Ties go to the first of LANGUAGES."""
+    place = F.create_map(*[F.lit(x) for pair in ((code, -i) for i, code in enumerate(LANGUAGES)) for x in pair])
+    sizes = F.transform(parts, lambda p: F.struct((p["confidence"] * (p["char_end"] - p["char_start"])).alias("s"), place[p["lang"]].alias("o"), p["lang"].alias("l")))
     return F.array_max(sizes)["l"]
 
 

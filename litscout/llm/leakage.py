@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litscout.session import table
+from litscout.session import spread, table
 
 MAX_ITEMS = 50_000  #: of one index; more items make several
 WINDOW, STRIDE = 32, 16
@@ -210,7 +210,7 @@ def runs(docs: DataFrame, key: str, text: str, index: Index) -> DataFrame:
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.col(text).alias("text")).where("key is not null and text is not null")
-    return rows.mapInPandas(visit, f"key {kind}, row bigint, item_id bigint, start int, stop int")
+    return spread(rows).mapInPandas(visit, f"key {kind}, row bigint, item_id bigint, start int, stop int")
 
 
 def leaks(docs: DataFrame, key: str, text: str, indexes: Iterable[Index]) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litscout.session import cut, fixed_size, table
+from litscout.session import cut, fixed_size, spread, table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 MAX_SOURCES = 10_000
@@ -99,7 +99,8 @@ def mix(docs: DataFrame, wanted: dict[str, tuple[float, int]], total: float | No
     ranked = ranked.withColumn("bucket", F.floor(F.col("rank") * BUCKETS))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     histogram = ranked.where("bucket is not null").groupBy("source", "bucket").agg(F.sum("tokens").alias("t")).withColumn("ahead", F.coalesce(F.sum("t").over(before), F.lit(0)))
-    placed = ranked.join(histogram.select("source", "bucket", "ahead", "t"), ["source", "bucket"], "left")
+    # At most BUCKETS rows a source, of MAX_SOURCES at most; documents without a rank have no bucket and meet nothing.
+    placed = ranked.join(F.broadcast(histogram.select("source", "bucket", "ahead", "t")), ["source", "bucket"], "left")
     inside = (F.col("ahead") + F.col("t")) <= F.col("rest")
     edge = placed.where(F.col("bucket").isNotNull() & ~inside & (F.col("ahead") < F.col("rest")))
     order = Window.partitionBy("source", "bucket").orderBy("rank", "doc_id")
@@ -115,7 +116,8 @@ def _read(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, tuple[floa
     rows = fixed_size(table(spark, sf, "source_weight").select("source", "target_share", "max_repeats"), MAX_SOURCES, "source_weight")
     wanted = {r["source"]: (r["target_share"], r["max_repeats"]) for r in rows if r["source"] is not None and r["target_share"] and r["max_repeats"]}
     docs = table(spark, sf, "documents").select("doc_id", "source", "text").where(F.col("text").isNotNull() & F.col("source").isin(*wanted))
-    return cut(with_tokens(docs, "text").dropDuplicates(["doc_id"])), wanted
+    counted = with_tokens(spread(docs), "text")
+    return cut(counted.groupBy("doc_id").agg(F.max(F.struct("tokens", "source")).alias("r")).select("doc_id", "r.source", "r.tokens")), wanted
 
 
 def mixture(spark: SparkSession, sf: str) -> DataFrame:

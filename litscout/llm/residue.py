@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litscout.session import cut, table
+from litscout.session import cut, spread, table
 
 ANY = "<*>"
 DEPTH = 2  #: leading tokens that choose the leaf
@@ -313,7 +313,7 @@ def learn(docs: DataFrame) -> Classifier:
         rows = [(" ".join(e[0]), label(" ".join(e[0]))[0] or KINDS[0], e[1], *findings(e[1], 1 - e[0].count(ANY) / len(e[0]), a, b, len(s))) for e, a, b, s in seen.values()]
         yield pd.DataFrame(rows, columns=["template", "kind", "n", *MINED])
 
-    mined = cut(sample.mapInPandas(grow, "template string, kind string, n bigint, " + ", ".join(f"{m} double" for m in MINED)).groupBy("template", "kind").agg(F.sum("n").alias("n"), *[F.max(m).alias(m) for m in MINED]))
+    mined = cut(spread(sample).mapInPandas(grow, "template string, kind string, n bigint, " + ", ".join(f"{m} double" for m in MINED)).groupBy("template", "kind").agg(F.sum("n").alias("n"), *[F.max(m).alias(m) for m in MINED]))
     # Of ordinary templates those with a word of a cue teach most, then the frequent ones.
     ordinary = F.arrays_overlap(F.split("template", " "), F.array(*[F.lit(w) for w in sorted(CUES)]))
     order = [F.xxhash64("template"), F.col("template")]
@@ -352,7 +352,7 @@ def candidates(docs: DataFrame, classifier: Classifier, key: str) -> DataFrame:
                     tree = PrefixTree()
             yield pd.DataFrame(rows, columns=["key", "what", "template", "alone", "lead", "source"])
 
-    return docs.mapInPandas(visit, f"key {key}, what string, template string, alone boolean, lead boolean, source string")
+    return spread(docs).mapInPandas(visit, f"key {key}, what string, template string, alone boolean, lead boolean, source string")
 
 
 def mine(found: DataFrame) -> DataFrame:

@@ -1,16 +1,18 @@
 """Problem 3: new batches checked for repeats against all that was accepted before.
 
-Method: incremental record linkage. A store in the shared folder keeps, batch by batch, the blocking keys of accepted rows
-(identifiers, and telling title tokens with their one-edit variants), their comparable fields, and the log of a union-find
-(id, representative). A batch probes the stored keys, scores candidate pairs with weights learned from pairs whose
-identifiers tell the answer, and appends unions for the clusters it touches; nothing accepted is compared again with
-anything accepted.
+Method: incremental record linkage. A store in the shared folder keeps, batch by batch, the comparable rows, the distinct
+titles of a batch with their blocking keys (telling words with their one-edit variants, and keys of whole titles), and the
+log of a union-find (id, representative). A batch probes the stored keys, scores candidate pairs with weights learned from
+pairs whose identifiers tell the answer, and appends unions for the clusters it touches; nothing accepted is compared again
+with anything accepted. What is stored is not shuffled for a batch: its keys are filtered where they are read by those of
+the batch, and titles are fetched for the pairs found. Only for a batch of more than FEW keys or pairs both sides are shuffled.
 
 Rows that share an identifier are linked to the smallest id of that identifier, not pairwise. Titles are compared only
-where neither pmid nor doi decides; only the best earlier row is linked. Words that a large share of the titles has block
-nothing, even if they are the name of one article that holds them all: titles without a telling word meet by their rarest
-words, and those that differ in one word by the others. There each distinct title (of one year, with or without pmid and
-doi) is compared once, for all rows that have it. The smallest candidate_id represents a cluster.
+where neither pmid nor doi decides; only the best earlier row is linked. Each distinct title of a batch (of one year, with or
+without pmid and doi) is compared once, for all rows that have it. Words that a large share of the first batch's titles has
+block nothing, even if they are the name of one article that holds them all: titles without a telling word meet by their
+rarest words, and those that differ in one word by the others. The words that a shortened title may lack, and the weights,
+are learned again whenever the store has doubled. The smallest candidate_id represents a cluster.
 
 Defined results: null and empty identifiers and titles block nothing; a title of fewer than four words (such as "reply by
 the authors") is never matched by title alone. Rows repeated under one id count once. Null ids are left out; a null batch
@@ -34,7 +36,7 @@ from litscout.session import cut, fixed_size, shared_dir, table
 SAMPLE = 3_000  #: rows from which weights are learned, at most
 PAIRS = 60_000  #: pairs of them, at most
 MAX_BATCHES = 10_000
-GROUP = 0.25
+FEW = 500_000  #: keys or pairs that are broadcast; more are joined by shuffle
 LEVELS, YEARS = (0, 1, 2, 3), ("same", "next", "far", "none")
 #: What is expected before any data, with the weight of PRIOR pairs: shares of levels among equal and other articles.
 EXPECTED = {"m": (0.02, 0.04, 0.06, 0.88), "u": (0.985, 0.005, 0.005, 0.005), "my": (0.85, 0.05, 0.04, 0.06), "uy": (0.06, 0.1, 0.78, 0.06)}
@@ -111,52 +113,51 @@ def score_pairs(pairs: DataFrame, common: list[str], weights: Weights) -> DataFr
 
 
 class Store:
-    """What is kept between batches, as Parquet in the shared folder: rows, keys and the union-find log, by batch."""
+    """What is kept between batches, as Parquet in the shared folder: rows, titles with keys and the union-find log, by batch."""
 
     def __init__(self, spark: SparkSession, phrases: dict[str, str], folder: str | None = None) -> None:
         self.spark, self.phrases = spark, phrases
         self.folder = folder or f"{shared_dir(spark)}/linkage-{uuid.uuid4().hex}"
         self.batches: list[int] = []
-        self.common: list[str] = []
+        self.common: list[str] = []  #: words that block nothing: those of the first batch, so that all stored keys agree
+        self.droppable: list[str] = []  #: words that a title may lack
         self.weights = Weights()
+        self.rows = self.learned = 0
 
     def _read(self, name: str, batches: list[int]) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.folder}/{name}/{b}" for b in batches])
 
     def prepare(self, df: DataFrame, number: int) -> None:
-        """Store the comparable rows and the keys of a batch. The first batch also gives the vocabulary and the weights."""
+        """Store the comparable rows of a batch, and its distinct titles with their keys. The first batch gives the vocabulary."""
         same = F.struct("tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"))
         comparable(df, self.phrases).withColumn("same", F.md5(F.to_json(same))).write.parquet(f"{self.folder}/rows/{number}")
         rows = self._read("rows", [number])
-        if not self.batches:
-            self.common = titles.common_tokens(rows)
-            self.weights = learn(rows, self.common)
-        exact = F.array_compact(F.array(F.when(F.col("pmid").isNotNull(), F.xxhash64(F.lit("p"), "pmid")), F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi"))))
-        tokens = F.when(F.size("tokens") >= titles.LEAST_TOKENS, titles.variants(titles.telling(F.col("tokens"), self.common))).otherwise(F.array().cast("array<bigint>"))
-        key = lambda kind: lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))
-        every = F.concat(F.transform(exact, key("id")), F.transform(tokens, key("word")))
-        keys = rows.select("id", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"), titles.signature(F.col("tokens")).alias("sig"), F.explode(every).alias("k"))
-        keys.select("k.kind", "k.key", "id", "p", "d", F.when(F.col("k.kind") == "word", F.col("sig")).alias("sig")).write.parquet(f"{self.folder}/keys/{number}")
-        distinct = rows.where(F.size("tokens") >= titles.LEAST_TOKENS).groupBy("same", "tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d")).agg(F.min("id").alias("id"), F.max("id").alias("last"))
-        distinct.withColumn("sig", titles.signature(F.col("tokens"))).withColumn("keys", titles.title_keys(F.col("tokens"), F.col("part"), self.common)).write.parquet(f"{self.folder}/titles/{number}")
+        self.rows += rows.count()
+        first = not self.batches
         self.batches.append(number)
+        if first or self.rows >= 2 * self.learned:
+            every = self._read("rows", self.batches)
+            self.droppable = titles.common_tokens(every)
+            self.common = self.droppable if first else self.common
+            self.weights = learn(every, self.droppable)
+            self.learned = self.rows
+        distinct = rows.where(F.size("tokens") >= titles.LEAST_TOKENS).groupBy("same", "tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d")).agg(F.min("id").alias("id"), F.max("id").alias("last"))
+        tokens = F.col("tokens")
+        keys = F.array_distinct(F.concat(titles.variants(titles.telling(tokens, self.common)), titles.title_keys(tokens, F.col("part"), self.common)))
+        distinct.withColumn("sig", titles.signature(tokens)).withColumn("keys", keys).write.parquet(f"{self.folder}/titles/{number}")
+
+    def _met(self, ours: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+        """ours joined with the stored rows of the same key; the stored side stays where it is if ours is small enough to be sent there."""
+        return stored.join(F.broadcast(ours) if ours.count() <= FEW else ours, key)
 
     def probe(self, number: int) -> DataFrame:
         """(id, earlier): links of the rows of a batch to earlier rows, at least one for each row that repeats an article."""
-        new, all_keys = self._read("keys", [number]), self._read("keys", self.batches)
-        own = new.where("kind = 'id'").select("key", "id")
-        inside = all_keys.where("kind = 'id'").join(own.select("key").distinct(), "key", "left_semi")
-        first = inside.groupBy("key").agg(F.min("id").alias("earlier"))
+        hashes = F.explode(F.array_compact(F.array(F.when(F.col("pmid").isNotNull(), F.xxhash64(F.lit("p"), "pmid")), F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi")))))
+        own = self._read("rows", [number]).select("id", hashes.alias("key"))
+        stored = self._read("rows", self.batches).select(F.col("id").alias("earlier"), hashes.alias("key"))
+        first = self._met(own.select("key").distinct(), stored, "key").groupBy("key").agg(F.min("earlier").alias("earlier"))
         links = own.join(first, "key").where("earlier < id").select("id", "earlier")
-
-        a = new.where("kind = 'word'").select("key", F.col("id").alias("ia"), F.col("p").alias("pa"), F.col("d").alias("da"), F.col("sig").alias("sa"))
-        b = all_keys.where("kind = 'word'").select("key", F.col("id").alias("ib"), F.col("p").alias("pb"), F.col("d").alias("db"), F.col("sig").alias("sb"))
-        pairs = a.join(b, "key").where("ib < ia and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("sa"), F.col("sb"))).select("ia", "ib")
-        pairs = pairs.distinct()
-        fields = lambda df, s: df.select(F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("tokens", "part", "year")])
-        pairs = pairs.join(fields(self._read("rows", [number]), "a"), "ia").join(fields(self._read("rows", self.batches), "b"), "ib")
-        scored = score_pairs(pairs, self.common, self.weights).where("score > 0").select("ia", "ib", "score")
-        best = scored.unionByName(self.probe_titles(number)).groupBy("ia").agg(F.max_by("ib", F.struct("score", -F.col("ib"))).alias("earlier"))
+        best = self.probe_titles(number).groupBy("ia").agg(F.max_by("ib", F.struct("score", -F.col("ib"))).alias("earlier"))
         return links.unionByName(best.select(F.col("ia").alias("id"), "earlier")).distinct()
 
     def probe_titles(self, number: int) -> DataFrame:
@@ -165,10 +166,10 @@ class Store:
         better than all before it goes to the title's rows."""
         new, every = self._read("titles", [number]), self._read("titles", self.batches)
         side = lambda df, s: df.select(F.explode("keys").alias("key"), F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}{s}") for c in ("p", "d", "sig", "last")])
-        pairs = side(new, "a").join(side(every, "b"), "key").where("ib < lasta and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("siga"), F.col("sigb"))).select("ia", "ib").distinct()
+        met = self._met(side(new, "a"), side(every, "b"), "key").where("ib < lasta and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("siga"), F.col("sigb"))).select("ia", "ib")
         fields = lambda df, s: df.select(F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("tokens", "part", "year")])
-        pairs = pairs.join(fields(new, "a").join(new.select(F.col("id").alias("ia"), "same"), "ia"), "ia").join(fields(every, "b"), "ib")
-        scored = score_pairs(pairs, self.common, self.weights).where("score > 0").select("same", "ib", "score")
+        pairs = cut(met.distinct()).join(fields(new, "a").join(new.select(F.col("id").alias("ia"), "same"), "ia"), "ia")
+        scored = score_pairs(self._met(pairs, fields(every, "b"), "ib"), self.droppable, self.weights).where("score > 0").select("same", "ib", "score")
         before = Window.partitionBy("same").orderBy("ib").rowsBetween(Window.unboundedPreceding, -1)
         better = scored.withColumn("most", F.max("score").over(before)).where("most is null or score > most").drop("most")
         rows = self._read("rows", [number]).select(F.col("id").alias("ia"), "same")
@@ -217,28 +218,14 @@ def closure(parents: DataFrame) -> DataFrame:
         now = following
 
 
-def rounds(sizes: list[tuple[int, int]], group: float = GROUP) -> list[list[int]]:
-    """Batches in order, (number, rows), put together into rounds of at least group times what was accepted before: a round
-    costs a number of jobs whatever its size, and accepting batches together or one by one gives the same clusters."""
-    out: list[list[int]] = []
-    accepted = waiting = 0
-    for number, rows in sorted(sizes):
-        if not out or waiting >= group * accepted:
-            out.append([])
-            accepted, waiting = accepted + waiting, 0
-        out[-1].append(number)
-        waiting += rows
-    return out
-
-
 def found(spark: SparkSession, sf: str) -> DataFrame:
     """All batches of pubmed_candidate in order, each accepted into one store."""
     df = table(spark, sf, "pubmed_candidate").select("candidate_id", F.coalesce("batch_no", F.lit(-1)).alias("batch_no"), "pmid", "doi", "title", "normalized_title", "publication_year")
     store = Store(spark, titles.vocabulary(spark, sf))
-    sizes = [(r["batch_no"], r["count"]) for r in fixed_size(df.groupBy("batch_no").count(), MAX_BATCHES, "the list of batches")]
-    for numbers in rounds(sizes):
-        store.accept(df.where(F.col("batch_no").isin(numbers)), numbers[-1])
-    if not sizes:
+    numbers = sorted(r["batch_no"] for r in fixed_size(df.select("batch_no").distinct(), MAX_BATCHES, "the list of batches"))
+    for number in numbers:
+        store.accept(df.where(F.col("batch_no") == number), number)
+    if not numbers:
         return spark.createDataFrame([], "candidate_id_a bigint, candidate_id_b bigint")
     return store.representatives().select(F.col("root").alias("candidate_id_a"), F.col("id").alias("candidate_id_b"))
 

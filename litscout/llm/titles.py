@@ -110,7 +110,7 @@ def common_tokens(df: DataFrame) -> list[str]:
 
 def telling(tokens: Column, common: list[str]) -> Column:
     """The tokens that are not common, each once."""
-    rare = F.array_except(tokens, F.array(*[F.lit(w) for w in common])) if common else F.array_distinct(tokens)
+    rare = F.array_except(tokens, F.split(F.lit(" ".join(common)), " ")) if common else F.array_distinct(tokens)  # one literal
     return F.filter(rare, lambda w: F.length(w) >= SHORTEST)
 
 

@@ -197,6 +197,9 @@ class Store:
         least = rooted.groupBy("id").agg(F.min("root").alias("parent"))
         merged = rooted.join(least, "id").where("root <> parent").select(F.col("root").alias("id"), "parent")
         least.unionByName(merged).distinct().write.parquet(f"{self.folder}/log/{number}")
+        # Spark removes the shuffles and broadcasts of finished jobs when the driver lets go of them, which a batch after batch of
+        # small jobs would put off until its heap is full.
+        self.spark._jvm.System.gc()
 
     def representatives(self) -> DataFrame:
         """(id, root) of all rows that are not the first of their article."""

@@ -7,7 +7,7 @@ import json
 
 from litscout.engine import Engine
 from litscout.operators.search import Filter, Request
-from litscout.plans import catalog
+from litscout.plans import catalog, reports
 from litscout.session import default_directory, session
 
 
@@ -19,6 +19,8 @@ def main(arguments: list[str] | None = None) -> None:
     run.add_argument("name")
     run.add_argument("--data", default=default_directory())
     run.add_argument("--out")
+    status = commands.add_parser("status", help="report on the state of a collection, as JSON")
+    status.add_argument("--data", default=default_directory())
     find = commands.add_parser("search", help="search a published index")
     find.add_argument("index")
     find.add_argument("query", nargs="?", default="")
@@ -35,6 +37,9 @@ def main(arguments: list[str] | None = None) -> None:
         df = catalog.QUERIES[given.name](spark, given.data)
         df.write.parquet(given.out) if given.out else df.show(truncate=False)
         return
+    if given.command == "status":
+        print(json.dumps(reports.base_status(spark, given.data), default=str, sort_keys=True, indent=1))
+        return
     filters = {family: Filter(tuple(keys.split(",")), given.all) for family, keys in (f.split("=", 1) for f in given.filter)}
     page, envelope = Engine(spark, given.index).search(Request(given.query, filters, limit=given.limit, cursor=given.cursor))
     for line in page.drop("search_text").toJSON().collect():  # a page

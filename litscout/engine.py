@@ -34,6 +34,13 @@ class Engine:
     def search(self, request: search.Request) -> tuple[DataFrame, dict]:
         return search.search(self.documents, self.facet_rows, request, self.build_id)
 
+    def results(self, request: search.Request, fields: dict[str, Column], core: set[str], candidates: Column | None = None) -> tuple[DataFrame, dict]:
+        """A page with why each document matches (reasons, match) and the evidence that shows it best (preview, from candidates), and
+        its envelope. fields: arrays of values in which query terms and filter values are looked for, in that order."""
+        page, envelope = self.search(request)
+        explained = page.withColumn("reasons", search.match_reasons(fields, request)).withColumn("match", search.match_kind(F.col("reasons"), core, search.terms(request.query)))
+        return (explained.withColumn("preview", search.preview(candidates, search.target_terms(request))) if candidates is not None else explained), envelope
+
     def facets(self, request: search.Request, top: int = 25) -> DataFrame:
         return search.facet_counts(search.select(self.documents, self.facet_rows, request), self.facet_rows, top)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from litscout.functions import ids
 from litscout.functions import text as tx
 from litscout.operators import aggregates, assembly, evidence, windows
-from litscout.session import table
+from litscout.session import fixed_size, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -437,3 +437,17 @@ def preferred_artifact(spark: SparkSession, sf: str) -> DataFrame:
 def sources_union(spark: SparkSession, sf: str) -> DataFrame:
     both = assembly.sources_union([("index", table(spark, sf, "legacy_index").select("document_id", "publication_year")), ("study", table(spark, sf, "legacy_study").where("document_id is not null").select("document_id", "publication_year"))])
     return both.groupBy("document_id").agg(F.min_by("origin", "ordinal").alias("origin"), F.count("*").alias("rows"))
+
+
+#: Queries that make up the report on the state of a collection.
+STATUS = ("state_snapshot", "access_report", "access_progress", "quality_reasons", "strategy_metrics", "reference_coverage", "resolution_summary", "classifier_summary", "list_values_top")
+
+
+@query("resolution_summary", f"with {_RESOLVED} select case when not found then 'unresolved' when dy or du then 'changed' else 'unchanged' end as status, count(*) as n from j group by 1")
+def resolution_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _resolved(spark, sf).groupBy("status").agg(F.count("*").alias("n"))
+
+
+def base_status(spark: SparkSession, sf: str, most: int = 1_000) -> dict[str, list[dict]]:
+    """The report: rows of each of its queries, which are aggregates; ValueError if one has more than most."""
+    return {name: [r.asDict(recursive=True) for r in fixed_size(QUERIES[name](spark, sf), most, name)] for name in STATUS}

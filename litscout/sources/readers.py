@@ -20,12 +20,14 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A file with a header, all columns text, quotes doubled, values over several lines, and row_number from 2 on as an editor
-    shows it. Numbering needs the file's order, which one reader of one file keeps."""
+    """Files with a header, all columns text, quotes doubled, values over several lines, and row_number from 2 on in each file. A
+    file of this kind is read by one task from its start to its end, so that Spark's ascending ids keep its order; a file's
+    numbers are their distance from its first one."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
-    numbered = rows.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 2))
-    return spark.createDataFrame(numbered, T.StructType([*schema.fields, T.StructField("row_number", T.LongType())]))
+    numbered = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
+    first = numbered.groupBy("_file").agg(F.min("_id").alias("_first"))  # one row a file
+    return numbered.join(first, "_file").select(*columns, (F.col("_id") - F.col("_first") + 2).alias("row_number"))
 
 
 def _folded(name: str) -> str:
@@ -78,21 +80,31 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", kind.alias("format"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"), text.alias("text"))
 
 
-_ARTICLE = "struct<PMID:string,Article:struct<ArticleTitle:string,Journal:struct<Title:string>,Abstract:struct<AbstractText:array<string>>,Language:array<string>,PublicationTypeList:struct<PublicationType:array<string>>>>"
+_ARTICLE = (
+    "struct<PMID:string,Article:struct<ArticleTitle:string,Journal:struct<Title:string,JournalIssue:struct<PubDate:struct<Year:string,Month:string,Day:string,MedlineDate:string>>>,Abstract:struct<AbstractText:array<string>>,"
+    "Language:array<string>,PublicationTypeList:struct<PublicationType:array<string>>,AuthorList:struct<Author:array<struct<LastName:string,Initials:string,CollectiveName:string>>>>,"
+    "MeshHeadingList:struct<MeshHeading:array<struct<DescriptorName:string>>>,ChemicalList:struct<Chemical:array<struct<NameOfSubstance:string>>>,KeywordList:struct<Keyword:array<string>>>"
+)
 _IDS = "struct<ArticleIdList:struct<ArticleId:array<struct<_IdType:string,_VALUE:string>>>>"
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """(pmid, doi, pmcid, title, journal, abstract, languages, publication_types) of PubmedArticle elements. Only an article's
-    own id list is read, never those of the works it cites."""
+    """(pmid, doi, pmcid, title, journal, abstract, languages, publication_types, authors, mesh_terms, chemicals, keywords,
+    publication_date) of PubmedArticle elements. Only an article's own id list is read, never those of the works it cites. The
+    date has as many parts as are given; a date in words stands as it is."""
     schema = f"MedlineCitation {_ARTICLE}, PubmedData {_IDS}"
     rows = spark.read.format("xml").option("rowTag", "PubmedArticle").schema(schema).load(path)
     own = F.col("PubmedData.ArticleIdList.ArticleId")
     of = lambda kind: F.try_element_at(F.transform(F.filter(own, lambda i: i["_IdType"] == kind), lambda i: F.trim(i["_VALUE"])), F.lit(1))
     article = F.col("MedlineCitation.Article")
+    date = article["Journal"]["JournalIssue"]["PubDate"]
     return rows.select(
         F.trim("MedlineCitation.PMID").alias("pmid"), F.lower(of("doi")).alias("doi"), F.upper(of("pmc")).alias("pmcid"), article["ArticleTitle"].alias("title"), article["Journal"]["Title"].alias("journal"),
         F.array_join(article["Abstract"]["AbstractText"], " ").alias("abstract"), article["Language"].alias("languages"), article["PublicationTypeList"]["PublicationType"].alias("publication_types"),
+        F.transform(article["AuthorList"]["Author"], lambda a: F.coalesce(F.concat_ws(" ", F.nullif(a["LastName"], F.lit("")), a["Initials"]), a["CollectiveName"])).alias("authors"),
+        F.col("MedlineCitation.MeshHeadingList.MeshHeading.DescriptorName").alias("mesh_terms"), F.col("MedlineCitation.ChemicalList.Chemical.NameOfSubstance").alias("chemicals"),
+        F.col("MedlineCitation.KeywordList.Keyword").alias("keywords"),
+        F.coalesce(F.nullif(F.concat_ws("-", date["Year"], date["Month"], date["Day"]), F.lit("")), date["MedlineDate"]).alias("publication_date"),
     )
 
 

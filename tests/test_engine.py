@@ -29,6 +29,15 @@ def test_engine(spark, folder):
     assert [tuple(r) for r in held.coverage(["title"]).collect()] == [("title", 2, 3, 66.67)]
 
 
+def test_results_say_why(spark, folder):
+    held = engine.Engine(spark, folder)
+    fields = {"title": F.array("title"), "lang": F.array("lang")}
+    spans = F.array(F.struct(F.col("title").alias("text"), F.lit("title").alias("section"), F.lit("title").alias("source_field")))
+    page, _ = held.results(Request("pain", {"lang": Filter(("EN",))}), fields, {"title"}, spans)
+    row = page.first()
+    assert row["match"] == "direct" and row["preview"]["text"] == "Oral drug for pain" and [(r["criterion"], r["field"]) for r in row["reasons"]] == [("pain", "title"), ("lang:EN", "lang")]
+
+
 def test_a_document_may_not_occur_twice(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("a", 1)], "document_id string, publication_year int")
     with pytest.raises(ValueError):

@@ -31,4 +31,15 @@ def test_merge_into_is_idempotent(spark, tmp_path):
     merge(first, 0)
     merge(second, 1)
     merge(second, 1)
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/v/1").collect()) == [(1, 3, "late"), (2, 3, "new")]
+    assert sorted(tuple(r) for r in events.state(spark, f"{tmp_path}/v", first.schema).collect()) == [(1, 3, "late"), (2, 3, "new")]
+
+
+def test_merge_into_leaves_other_buckets_alone(spark, tmp_path):
+    merge = events.merge_into(f"{tmp_path}/w", ["id"], ["status"], "seq", buckets=8)
+    rows = spark.createDataFrame([(i, 1, "open") for i in range(40)], "id int, seq int, status string")
+    merge(rows, 0)
+    merge(spark.createDataFrame([(7, 2, "done")], "id int, seq int, status string"), 1)
+    assert len(list((tmp_path / "w" / "1").glob("bucket=*"))) == 1 and len(list((tmp_path / "w" / "0").glob("bucket=*"))) > 4
+    got = {r["id"]: (r["seq"], r["status"]) for r in events.state(spark, f"{tmp_path}/w", rows.schema).collect()}
+    assert got == {i: (2, "open") if i == 7 else (1, "open") for i in range(40)}
+    assert events.state(spark, f"{tmp_path}/none", rows.schema).count() == 0

@@ -26,7 +26,7 @@ import uuid
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litscout.llm import titles
@@ -122,17 +122,23 @@ class Store:
         self.common: list[str] = []  #: words that block nothing: those of the first batch, so that all stored keys agree
         self.droppable: list[str] = []  #: words that a title may lack
         self.weights = Weights()
-        self.rows = self.learned = 0
+        self.rows = self.learned = self.new_ids = self.new_keys = 0
 
     def _read(self, name: str, batches: list[int]) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.folder}/{name}/{b}" for b in batches])
 
+    def _write(self, df: DataFrame, name: str, number: int, size: Column | None = None) -> int:
+        """Store a frame, and sum up a size of its rows (1 each, if none is given) while it is written."""
+        seen = Observation()
+        df.observe(seen, F.coalesce(F.sum(F.lit(1) if size is None else size), F.lit(0)).alias("n")).write.parquet(f"{self.folder}/{name}/{number}")
+        return seen.get["n"]
+
     def prepare(self, df: DataFrame, number: int) -> None:
         """Store the comparable rows of a batch, and its distinct titles with their keys. The first batch gives the vocabulary."""
         same = F.struct("tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d"))
-        comparable(df, self.phrases).withColumn("same", F.md5(F.to_json(same))).write.parquet(f"{self.folder}/rows/{number}")
+        count = self._write(comparable(df, self.phrases).withColumn("same", F.md5(F.to_json(same))), "rows", number)
         rows = self._read("rows", [number])
-        self.rows += rows.count()
+        self.rows, self.new_ids = self.rows + count, 2 * count
         first = not self.batches
         self.batches.append(number)
         if first or self.rows >= 2 * self.learned:
@@ -144,18 +150,19 @@ class Store:
         distinct = rows.where(F.size("tokens") >= titles.LEAST_TOKENS).groupBy("same", "tokens", "part", "year", F.col("pmid").isNotNull().alias("p"), F.col("doi").isNotNull().alias("d")).agg(F.min("id").alias("id"), F.max("id").alias("last"))
         tokens = F.col("tokens")
         keys = F.array_distinct(F.concat(titles.variants(titles.telling(tokens, self.common)), titles.title_keys(tokens, F.col("part"), self.common)))
-        distinct.withColumn("sig", titles.signature(tokens)).withColumn("keys", keys).write.parquet(f"{self.folder}/titles/{number}")
+        self.new_keys = self._write(distinct.withColumn("sig", titles.signature(tokens)).withColumn("keys", keys), "titles", number, F.size("keys"))
 
-    def _met(self, ours: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-        """ours joined with the stored rows of the same key; the stored side stays where it is if ours is small enough to be sent there."""
-        return stored.join(F.broadcast(ours) if ours.count() <= FEW else ours, key)
+    def _met(self, ours: DataFrame, size: int, stored: DataFrame, key: str) -> DataFrame:
+        """ours, of a known size, joined with the stored rows of the same key; the stored side stays where it is if ours is small
+        enough to be sent there."""
+        return stored.join(F.broadcast(ours) if size <= FEW else ours, key)
 
     def probe(self, number: int) -> DataFrame:
         """(id, earlier): links of the rows of a batch to earlier rows, at least one for each row that repeats an article."""
         hashes = F.explode(F.array_compact(F.array(F.when(F.col("pmid").isNotNull(), F.xxhash64(F.lit("p"), "pmid")), F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi")))))
         own = self._read("rows", [number]).select("id", hashes.alias("key"))
         stored = self._read("rows", self.batches).select(F.col("id").alias("earlier"), hashes.alias("key"))
-        first = self._met(own.select("key").distinct(), stored, "key").groupBy("key").agg(F.min("earlier").alias("earlier"))
+        first = self._met(own.select("key").distinct(), self.new_ids, stored, "key").groupBy("key").agg(F.min("earlier").alias("earlier"))
         links = own.join(first, "key").where("earlier < id").select("id", "earlier")
         best = self.probe_titles(number).groupBy("ia").agg(F.max_by("ib", F.struct("score", -F.col("ib"))).alias("earlier"))
         return links.unionByName(best.select(F.col("ia").alias("id"), "earlier")).distinct()
@@ -166,10 +173,11 @@ class Store:
         better than all before it goes to the title's rows."""
         new, every = self._read("titles", [number]), self._read("titles", self.batches)
         side = lambda df, s: df.select(F.explode("keys").alias("key"), F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}{s}") for c in ("p", "d", "sig", "last")])
-        met = self._met(side(new, "a"), side(every, "b"), "key").where("ib < lasta and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("siga"), F.col("sigb"))).select("ia", "ib")
+        met = self._met(side(new, "a"), self.new_keys, side(every, "b"), "key").where("ib < lasta and not (pa and pb) and not (da and db)").where(titles.may_match(F.col("siga"), F.col("sigb"))).select("ia", "ib")
         fields = lambda df, s: df.select(F.col("id").alias(f"i{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("tokens", "part", "year")])
-        pairs = cut(met.distinct()).join(fields(new, "a").join(new.select(F.col("id").alias("ia"), "same"), "ia"), "ia")
-        scored = score_pairs(self._met(pairs, fields(every, "b"), "ib"), self.droppable, self.weights).where("score > 0").select("same", "ib", "score")
+        count = self._write(met.distinct(), "pairs", number)
+        pairs = self._read("pairs", [number]).join(fields(new, "a").join(new.select(F.col("id").alias("ia"), "same"), "ia"), "ia")
+        scored = score_pairs(self._met(pairs, count, fields(every, "b"), "ib"), self.droppable, self.weights).where("score > 0").select("same", "ib", "score")
         before = Window.partitionBy("same").orderBy("ib").rowsBetween(Window.unboundedPreceding, -1)
         better = scored.withColumn("most", F.max("score").over(before)).where("most is null or score > most").drop("most")
         rows = self._read("rows", [number]).select(F.col("id").alias("ia"), "same")
@@ -209,16 +217,19 @@ class Store:
 def closure(parents: DataFrame) -> DataFrame:
     """(id, root): unions (id, parent), parent < id, followed to the smallest id of each set. Every turn takes the smallest
     parent, hangs the others under it and skips a generation, so that the turns grow with the logarithm of the depth."""
+    # Two sets of unions are taken to be the same if they are as many and their hashes have the same sum.
+    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("id", "parent").cast("decimal(20,0)"))).first())
     now = cut(parents.distinct())
+    held = mark(now)
     while True:
         least = now.groupBy("id").agg(F.min("parent").alias("parent"), F.count("*").alias("n"))
         others = now.join(least.where("n > 1").select("id", F.col("parent").alias("low")), "id").where("parent <> low").select(F.col("parent").alias("id"), F.col("low").alias("parent"))
         above = least.select(F.col("id").alias("parent"), F.col("parent").alias("up"))
         jumped = least.join(above, "parent", "left").select("id", F.coalesce("up", "parent").alias("parent"))
-        following = cut(jumped.unionByName(others).distinct())
-        if following.count() == now.count() and following.exceptAll(now).isEmpty():
+        now = cut(jumped.unionByName(others).distinct())
+        before, held = held, mark(now)
+        if held == before:
             return now.withColumnRenamed("parent", "root")
-        now = following
 
 
 def found(spark: SparkSession, sf: str) -> DataFrame:

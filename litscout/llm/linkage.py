@@ -28,6 +28,7 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from litscout.llm import titles
 from litscout.llm.formatting import plain_doi
@@ -123,13 +124,15 @@ class Store:
         self.droppable: list[str] = []  #: words that a title may lack
         self.weights = Weights()
         self.rows = self.learned = self.new_ids = self.new_keys = 0
+        self.schemas: dict[str, T.StructType] = {}  #: of what is stored, so that no job is spent to find them
 
     def _read(self, name: str, batches: list[int]) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.folder}/{name}/{b}" for b in batches])
+        reader = self.spark.read.schema(self.schemas[name]) if name in self.schemas else self.spark.read
+        return reader.parquet(*[f"{self.folder}/{name}/{b}" for b in batches])
 
     def _write(self, df: DataFrame, name: str, number: int, size: Column | None = None) -> int:
         """Store a frame, and sum up a size of its rows (1 each, if none is given) while it is written."""
-        seen = Observation()
+        seen, self.schemas[name] = Observation(), df.schema
         df.observe(seen, F.coalesce(F.sum(F.lit(1) if size is None else size), F.lit(0)).alias("n")).write.parquet(f"{self.folder}/{name}/{number}")
         return seen.get["n"]
 
@@ -198,13 +201,17 @@ class Store:
         """Check a batch and accept it: unions of its rows and of the clusters they touch are appended to the log."""
         before = list(self.batches)
         self.prepare(df, number)
-        self.probe(number).write.parquet(f"{self.folder}/links/{number}")
+        links = self.probe(number)
+        self.schemas["links"] = links.schema
+        links.write.parquet(f"{self.folder}/links/{number}")
         links = self._read("links", [number])
         roots = self.find(links.select(F.col("earlier").alias("id")).distinct(), before).withColumnRenamed("id", "earlier")
         rooted = links.join(roots, "earlier").select("id", "root")
         least = rooted.groupBy("id").agg(F.min("root").alias("parent"))
         merged = rooted.join(least, "id").where("root <> parent").select(F.col("root").alias("id"), "parent")
-        least.unionByName(merged).distinct().write.parquet(f"{self.folder}/log/{number}")
+        unions = least.unionByName(merged).distinct()
+        self.schemas["log"] = unions.schema
+        unions.write.parquet(f"{self.folder}/log/{number}")
         # Spark removes the shuffles and broadcasts of finished jobs when the driver lets go of them, which a batch after batch of
         # small jobs would put off until its heap is full.
         self.spark._jvm.System.gc()

@@ -2,10 +2,9 @@
 
 Method: progressive partition refinement. A partition of the rows starts from an invariant of the column as it is, which is
 cheap to compute and which no formatting difference changes: how often some groups of letters and digits occur, hashed to
-eight bytes, so that only short keys are shuffled, after map-side combining. Rows alone in their class are done with. Only for
-the others the text is stripped and its eight-byte hash refines the classes; only for those still with others the exact
-keys are compared, as 128-bit hashes. The table is read once for each of the two sides of a refinement, which costs less
-than to shuffle the texts of all rows.
+eight bytes, so that only short keys are shuffled, after map-side combining. Rows alone in their class are done with. Only
+the others' texts are stripped, and their exact keys refine the classes, as 128-bit hashes. The table is read for each of
+the two sides of the refinement, which costs less than to shuffle the texts of all rows.
 
 Defined results: a null key, or one without any letter or digit, is in no class. Rows repeated under one id count as
 one copy of that id. An empty table gives an empty result. Other columns are ignored, whatever their names.
@@ -76,8 +75,7 @@ def refine(df: DataFrame, key: str, cheap: Column, exact: Sequence[Column]) -> D
     rows = df.select(F.col(key).alias("key"), *columns).where("key is not null").withColumn("_cheap", cheap).where("_cheap is not null")
     parts = [F.coalesce(F.concat(F.lit("="), c), F.lit("null")) for c in exact]
     whole = F.when(exact[0].isNotNull(), F.concat_ws("\u0001", *parts))
-    closer = with_others(rows, "_cheap").select("key", whole.alias("_whole")).where("_whole is not null").distinct().withColumn("_close", F.xxhash64("_whole"))
-    return with_others(closer, "_close").select(F.md5("_whole").alias("class_id"), "key").distinct()
+    return with_others(rows, "_cheap").select(F.md5(whole).alias("class_id"), "key").where("class_id is not null").distinct()
 
 
 def pairs(members: DataFrame) -> DataFrame:
